@@ -57,12 +57,14 @@ def running_totals(
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
+    with_next: bool = False,
     ranges: int = RANGES,
 ) -> DataFrame:
     """Add ``run_<c>`` (inclusive running total) and ``all_<c>`` (group total) per column.
 
     ``points`` must hold one row per (``by``, ``order``). A group of any size spreads over as
-    many ranges as its share of the rows; no group is handled by one task.
+    many ranges as its share of the rows; no group is handled by one task. ``with_next`` also
+    adds ``next_<order>``, the value of the following point in the group.
     """
     by = list(by)
     key = F.struct(*by, order) if by else F.col(order)
@@ -74,22 +76,28 @@ def running_totals(
         return F.col(name).desc() if descending else F.col(name).asc()
 
     # At most (groups + ranges) rows from here to the offsets.
-    totals = located.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_{c}") for c in sums])
+    first = (F.max if descending else F.min)(order)
+    totals = located.groupBy(*by, "_range").agg(
+        first.alias("_first"), *[F.sum(c).alias(f"_{c}") for c in sums]
+    )
     group = Window.partitionBy(*(by or [F.lit(0)]))
-    before = group.orderBy(sorted_by("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    in_order = group.orderBy(sorted_by("_range"))
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *by,
         "_range",
         *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_{c}").over(group).alias(f"all_{c}") for c in sums],
+        *([F.lead("_first").over(in_order).alias("_later")] if with_next else []),
     )
 
-    inside = (
-        Window.partitionBy(*by, "_range")
-        .orderBy(sorted_by(order))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*by, "_range").orderBy(sorted_by(order))
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = located.select(
+        "*",
+        *[F.sum(c).over(so_far).alias(f"_in_{c}") for c in sums],
+        *([F.lead(order).over(inside).alias("_next")] if with_next else []),
     )
-    summed = located.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
     joined = summed.alias("s").join(
         offsets.alias("o"),
         F.expr(" AND ".join(f"s.`{c}` <=> o.`{c}`" for c in [*by, "_range"])),
@@ -98,6 +106,7 @@ def running_totals(
         *[F.col(f"s.`{c}`") for c in points.columns],
         *[(F.col(f"s._in_{c}") + F.col(f"o._before_{c}")).alias(f"run_{c}") for c in sums],
         *[F.col(f"o.all_{c}") for c in sums],
+        *([F.coalesce("s._next", "o._later").alias(f"next_{order}")] if with_next else []),
     )
 
 
@@ -108,27 +117,27 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return kept.groupBy(*by, column.alias(value)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _at_rank(rank: Column, value: str, count: str) -> Column:
+def _at_rank(rank: str, value: str, count: str) -> str:
     """Smallest value whose running count passes the zero-based rank."""
-    return F.min(F.when(F.col(f"run_{count}") > rank, F.col(value)))
+    return f"min(CASE WHEN run_{count} > {rank} THEN `{value}` END)"
 
 
-def interpolated(total: Column, prob: float, value: str, count: str = "n") -> Column:
-    """Aggregate: linear-interpolated quantile over rows of ``running_totals``."""
-    place = F.lit(float(prob)) * (total - 1)
-    low = _at_rank(F.floor(place), value, count)
-    high = _at_rank(F.ceil(place), value, count)
+def interpolated(prob: float, value: str, count: str = "n") -> str:
+    """SQL aggregate over rows of ``running_totals``: linear-interpolated quantile."""
+    place = f"({float(prob)!r}D * (all_{count} - 1))"
+    low = _at_rank(f"floor({place})", value, count)
+    high = _at_rank(f"ceil({place})", value, count)
+    part = f"max({place} - floor({place}))"
     # Measured from the nearer end, so that a place on an exact rank returns that value.
-    place = F.lit(float(prob)) * (F.max(total) - 1)
-    part = place - F.floor(place)
-    return F.when(part >= 0.5, high - (high - low) * (1 - part)).otherwise(
-        low + (high - low) * part
+    return (
+        f"CASE WHEN {part} >= 0.5D THEN {high} - ({high} - {low}) * (1 - {part}) "
+        f"ELSE {low} + ({high} - {low}) * {part} END"
     )
 
 
-def nearest_rank(total: Column, prob: float, value: str, count: str = "n") -> Column:
-    """Aggregate: the value at rank ``round(prob * (n - 1))``, halves to even."""
-    return _at_rank(F.rint(F.lit(float(prob)) * (total - 1)), value, count)
+def nearest_rank(prob: float, value: str, count: str = "n") -> str:
+    """SQL aggregate: the value at rank ``round(prob * (n - 1))``, halves to even."""
+    return _at_rank(f"rint({float(prob)!r}D * (all_{count} - 1))", value, count)
 
 
 def quantiles_of_counts(
@@ -143,9 +152,8 @@ def quantiles_of_counts(
     """Exact quantiles per group from (group, value, count) rows."""
     curve = running_totals(counts, value, [count], by, ranges=ranges)
     pick = {"linear": interpolated, "nearest": nearest_rank}[method]
-    total = F.col(f"all_{count}")
     return curve.groupBy(*by).agg(
-        *[pick(total, prob, value, count).alias(name) for name, prob in probs.items()]
+        *[F.expr(pick(prob, value, count)).alias(name) for name, prob in probs.items()]
     )
 
 
