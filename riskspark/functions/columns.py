@@ -96,6 +96,10 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
 
 
+def count_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def resolve_column(df: DataFrame, candidates: Sequence[str]) -> str | None:
     """The first spelling that the table has."""
     return next((name for name in candidates if name in df.columns), None)

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions import day
-
-COUNT = F.count(F.lit(1))
+from riskspark.functions import count_rows, day
 
 
 def _c(name: str) -> Column:
@@ -18,7 +16,7 @@ def _c(name: str) -> Column:
 
 def shape(df: DataFrame) -> DataFrame:
     """(rows, columns)."""
-    return df.agg(COUNT.alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+    return df.agg(count_rows().alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
 def column_types(df: DataFrame) -> list[tuple[str, str]]:
@@ -27,7 +25,7 @@ def column_types(df: DataFrame) -> list[tuple[str, str]]:
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """(value, n, share); NULL is not counted."""
-    counts = df.where(_c(column).isNotNull()).groupBy(_c(column).alias("value")).agg(COUNT.alias("n"))
+    counts = df.where(_c(column).isNotNull()).groupBy(_c(column).alias("value")).agg(count_rows().alias("n"))
     total = counts.agg(F.sum("n").alias("t")).scalar()
     return counts.withColumn("share", F.col("n") / total)
 
@@ -48,7 +46,7 @@ def time_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def rows_per_day(df: DataFrame, time: str) -> DataFrame:
-    return df.groupBy(day(_c(time)).alias("day")).agg(COUNT.alias("n")).orderBy("day")
+    return df.groupBy(day(_c(time)).alias("day")).agg(count_rows().alias("n")).orderBy("day")
 
 
 def missing_cells(df: DataFrame) -> DataFrame:
@@ -70,7 +68,7 @@ def duplicate_rows(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     Copies collapse on the map side, so a large group of copies shuffles as few rows.
     """
     columns = [_c(c) for c in df.columns if c not in ignore]
-    groups = df.groupBy(*columns).agg(COUNT.alias("_n"))
+    groups = df.groupBy(*columns).agg(count_rows().alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
@@ -81,9 +79,9 @@ def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
 
 def entity_profile(df: DataFrame, entity: str) -> DataFrame:
     """(entities, repeated, max_rows)."""
-    counts = df.where(_c(entity).isNotNull()).groupBy(_c(entity)).agg(COUNT.alias("n"))
+    counts = df.where(_c(entity).isNotNull()).groupBy(_c(entity)).agg(count_rows().alias("n"))
     return counts.agg(
-        COUNT.alias("entities"),
+        count_rows().alias("entities"),
         F.count_if(F.col("n") > 1).alias("repeated"),
         F.max("n").alias("max_rows"),
     )
@@ -99,7 +97,7 @@ def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
-    return df.groupBy(split).agg(COUNT.alias("n"))
+    return df.groupBy(split).agg(count_rows().alias("n"))
 
 
 def calendar_gaps(df: DataFrame, time: str) -> DataFrame:
@@ -112,4 +110,4 @@ def calendar_gaps(df: DataFrame, time: str) -> DataFrame:
 def rate_by_month(df: DataFrame, time: str, target: str) -> DataFrame:
     """(month, n, rate)."""
     month = F.trunc(_c(time), "month").alias("month")
-    return df.groupBy(month).agg(COUNT.alias("n"), F.avg(_c(target)).alias("rate"))
+    return df.groupBy(month).agg(count_rows().alias("n"), F.avg(_c(target)).alias("rate"))

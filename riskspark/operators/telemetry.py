@@ -10,11 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.functions import ratio
+from riskspark.functions import count_rows, ratio
 from riskspark.operators.ordered import exact_quantiles, quantiles_of_counts
 from riskspark.schema import Slo
 
-COUNT = F.count(F.lit(1))
 INF = float("inf")
 
 # Upper bucket bounds of scores, batch sizes and stage times (seconds).
@@ -40,7 +39,7 @@ def alerts_per_window(
     windows.
     """
     slot = F.window(ts, f"{slide} seconds")["start"]
-    slots = log.groupBy(slot.alias("slot"), alert).agg(COUNT.alias("n"))
+    slots = log.groupBy(slot.alias("slot"), alert).agg(count_rows().alias("n"))
     back = F.sequence(F.lit(0), F.lit(length - slide), F.lit(slide))
     spread = slots.select(
         F.timestamp_seconds(F.unix_timestamp("slot") - F.explode(back)).alias("window_start"),
@@ -102,7 +101,7 @@ def throughput(
     log: DataFrame, ts: str = "ts", path: str = "path", seconds: int = 300
 ) -> DataFrame:
     """(window_start, path, per_second)."""
-    counts = log.groupBy(window_start(ts, f"{seconds} seconds"), path).agg(COUNT.alias("n"))
+    counts = log.groupBy(window_start(ts, f"{seconds} seconds"), path).agg(count_rows().alias("n"))
     return counts.select("window_start", path, (F.col("n") / float(seconds)).alias("per_second"))
 
 
@@ -114,7 +113,7 @@ def error_rate(
     The request rate counts as at least 0.001 per second.
     """
     counts = log.groupBy(window_start(ts, f"{seconds} seconds")).agg(
-        COUNT.alias("n"), F.count_if(F.col(status) >= 500).alias("failed")
+        count_rows().alias("n"), F.count_if(F.col(status) >= 500).alias("failed")
     )
     rate = F.greatest(F.col("n") / float(seconds), F.lit(0.001))
     return counts.select(
@@ -225,7 +224,7 @@ def stage_breakdown(
 ) -> DataFrame:
     """(rows, stage, p50, p95, mean, share): nearest-rank quantiles, share of the named stages."""
     counts = samples.groupBy(size, stage, F.col(seconds).cast("double").alias("_s")).agg(
-        COUNT.alias("n"), F.sum(seconds).alias("_sum")
+        count_rows().alias("n"), F.sum(seconds).alias("_sum")
     )
     ranked = quantiles_of_counts(
         counts, "_s", {"p50": 0.5, "p95": 0.95}, [size, stage], method="nearest"
@@ -252,7 +251,7 @@ def endpoint_table(
     """
     by = list(by)
     counts = log.groupBy(*by, F.col(path).alias("endpoint"), F.col(latency).alias("_v")).agg(
-        COUNT.alias("n"),
+        count_rows().alias("n"),
         F.count_if(F.col(status) >= 500).alias("failed"),
         F.min(ts).alias("first"),
         F.max(ts).alias("last"),
@@ -346,12 +345,12 @@ def run_comparison(
 
 def batch_sizes(log: DataFrame, call: Sequence[str | Column]) -> DataFrame:
     """(rows) per scoring call."""
-    return log.groupBy(*call).agg(COUNT.cast("double").alias("rows"))
+    return log.groupBy(*call).agg(count_rows().cast("double").alias("rows"))
 
 
 def batch_size_distribution(log: DataFrame, call: Sequence[str | Column]) -> DataFrame:
     """(le, n, calls, mean_rows): cumulative calls by size, with the totals on each row."""
-    sizes = batch_sizes(log, call).groupBy("rows").agg(COUNT.alias("calls"))
+    sizes = batch_sizes(log, call).groupBy("rows").agg(count_rows().alias("calls"))
     counts = F.array(
         *[
             F.struct(

@@ -89,10 +89,12 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 def read_stats(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Load-test statistics, one row per run and endpoint.
 
-    The run is the file name before ``_stats.csv``; missing numbers are NULL.
+    The run is the name of the file, or of its folder, before ``_stats.csv``. Missing numbers
+    are NULL.
     """
     raw = spark.read.option("header", True).csv(path)
-    run = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:_stats)?\.csv$", 1)
+    name = r"([^/]+?)(?:_stats)?\.csv(?:/[^/]*)?$"
+    run = F.regexp_extract(F.col("_metadata.file_path"), name, 1)
     total, failed = (F.col(f"`{c}`").try_cast("long") for c in ("Request Count", "Failure Count"))
     return raw.select(
         run.alias("run"),

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskspark.operators.clean import normalize_request
 from riskspark.operators.gates import resolve_alias
-from riskspark.operators.validate import coerce_types, with_reasons
+from riskspark.operators.validate import with_reasons
 from riskspark.plans.training import Scorer
 from riskspark.schema import REQUEST_FIELDS
 
@@ -53,9 +53,11 @@ class Champion:
         return self.scorer
 
 
-def judge(requests: DataFrame) -> DataFrame:
-    """Request rows with ``reasons``; a label or an unknown field is refused."""
-    return with_reasons(requests, REQUEST_FIELDS, forbidden=["no_show"])
+def judge(requests: DataFrame, keep: tuple[str, ...] = ("request_id",)) -> DataFrame:
+    """Request rows with ``reasons``; a label or any other unknown field is refused."""
+    known = {f.name for f in REQUEST_FIELDS} | set(keep)
+    unknown = [c for c in requests.columns if c not in known]
+    return with_reasons(requests, REQUEST_FIELDS, forbidden=unknown)
 
 
 def accepted_rows(judged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -63,8 +65,7 @@ def accepted_rows(judged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     good = judged.where(F.size("reasons") == 0)
     names = {f.name for f in REQUEST_FIELDS}
     extra = [F.col(c) for c in keep if c not in names]
-    typed = coerce_types(good, REQUEST_FIELDS).columns
-    casts = [f.typed().alias(f.name) for f in REQUEST_FIELDS if f.name in typed]
+    casts = [f.typed().alias(f.name) for f in REQUEST_FIELDS]
     return normalize_request(good.select(*extra, *casts))
 
 
@@ -83,7 +84,7 @@ def score_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        judged = judge(batch).persist()
+        judged = judge(batch, keep).persist()
         try:
             scorer = champion.current()
             scored = scorer.score(accepted_rows(judged, keep), keep)
@@ -103,6 +104,6 @@ def score_stream(
 
 def score_table(requests: DataFrame, scorer: Scorer, keep: tuple[str, ...] = ("request_id",)):
     """The batch form: (predictions, quarantine)."""
-    judged = judge(requests)
+    judged = judge(requests, keep)
     bad = judged.where(F.size("reasons") > 0)
     return scorer.score(accepted_rows(judged, keep), keep), bad
