@@ -83,7 +83,7 @@ CLEAN = f"""{APPT}, cleaned AS (
          WHEN appointment_day <= TIMESTAMP '2000-12-31' THEN 'val' ELSE 'test' END AS split
   FROM appt WHERE age >= 0 AND date_trunc('day', scheduled_day) <= appointment_day)"""
 
-HISTORY = f"""{CLEAN}, asof AS (
+HISTORY = f"""{CLEAN}, known AS (
   SELECT q.*, coalesce(h.n, 0) AS prev_n, coalesce(h.k, 0) AS prev_k
   FROM cleaned q LEFT JOIN (
     SELECT a.appointment_id, count(*) AS n, sum(t.target) AS k
