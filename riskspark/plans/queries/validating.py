@@ -162,8 +162,7 @@ REQUESTS = f"""{DIRTY}, reasons AS ({_cells(0)}
     f"""WITH {REQUESTS} SELECT row_id AS request_id, "column", "check", "value" FROM reasons""",
 )
 def refused_requests(spark, sf_dir):
-    bad = judge(request_rows(spark, sf_dir)).where(F.size("reasons") > 0)
-    return bad.select("request_id", F.inline("reasons"))
+    return judge(request_rows(spark, sf_dir)).select("request_id", F.inline("reasons"))
 
 
 @query(

@@ -39,9 +39,7 @@ def report_to_metrics(report: DataFrame) -> DataFrame:
     def number(column):
         return F.when(column, 1.0).otherwise(0.0)
 
-    performance = isinstance(report.schema["performance"].dataType.simpleString(), str) and (
-        report.schema["performance"].dataType.typeName() == "struct"
-    )
+    performance = report.schema["performance"].dataType.typeName() == "struct"
     values = {
         "report_available": F.lit(1.0),
         "data_drift_share": F.col("drift_share"),
