@@ -41,8 +41,8 @@ def alerts_per_window(
     slot = F.window(ts, f"{slide} seconds")["start"]
     slots = log.groupBy(slot.alias("slot"), alert).agg(count_rows().alias("n"))
     back = F.sequence(F.lit(0), F.lit(length - slide), F.lit(slide))
-    spread = slots.select(
-        F.timestamp_seconds(F.unix_timestamp("slot") - F.explode(back)).alias("window_start"),
+    spread = slots.withColumn("back", F.explode(back)).select(
+        F.timestamp_seconds(F.unix_timestamp("slot") - F.col("back")).alias("window_start"),
         alert,
         "n",
     )

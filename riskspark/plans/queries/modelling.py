@@ -1,0 +1,236 @@
+"""Preparation, fits and scoring.
+
+Labels of the driver's orders do not depend on the features, so models learn from appointments
+generated out of the order keys: one per order, with outcomes that depend on the lead time.
+"""
+
+from functools import lru_cache
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from riskspark.operators import models as ML
+from riskspark.operators import prep as P
+from riskspark.operators.clean import split_part, with_target
+from riskspark.operators.features import base_features
+from riskspark.operators.gates import gate_size
+from riskspark.operators.scoring import score_batch
+from riskspark.plans.adapter import SPLIT, table
+from riskspark.plans.queries.base import CLEAN, query, r6, rows
+from riskspark.plans.training import prepare, scorer, train_and_evaluate
+from riskspark.schema import Split
+from riskspark.session import shared_dir
+from riskspark.sources.synth import synthetic_appointments
+
+# Most of the generated time goes to training, as in the real table.
+SYNTH_SPLIT = Split("2016-04-15", "2016-05-10")
+TREES, TUNED_TREES = 20, 30
+
+
+def synthetic(spark, sf_dir):
+    """One generated appointment per order; as many patients as a tenth of the customers' range."""
+    return synthetic_appointments(table(spark, sf_dir, "orders"), "o_orderkey", entities=1500)
+
+
+@lru_cache(maxsize=4)
+def _prepared(spark, sf_dir):
+    """Vectors for all generated rows, written once, with the fitted feature objects."""
+    prepared, builder, preprocessor = prepare(synthetic(spark, sf_dir), SYNTH_SPLIT)
+    narrow = prepared.select("appointment_id", "patient_id", "features", "target", "split")
+    path = shared_dir(spark, "prepared")
+    narrow.write.parquet(path)
+    return spark.read.parquet(path), builder, preprocessor
+
+
+@lru_cache(maxsize=4)
+def _logistic(spark, sf_dir):
+    prepared, builder, preprocessor = _prepared(spark, sf_dir)
+    return ML.fit_logistic(prepared.where("split = 'train'"))
+
+
+@lru_cache(maxsize=4)
+def _boosted(spark, sf_dir):
+    prepared, _, _ = _prepared(spark, sf_dir)
+    return ML.fit_boosted(prepared.where("split = 'train'"), trees=TREES)
+
+
+@lru_cache(maxsize=4)
+def fitted_scorer(spark, sf_dir):
+    """Features, preparation and logistic model as one object."""
+    _, builder, preprocessor = _prepared(spark, sf_dir)
+    return scorer(builder, preprocessor, _logistic(spark, sf_dir), 0.5, "1")
+
+
+def _holes(df):
+    """Every seventh gender and every eleventh age blanked out."""
+    key = F.col("appointment_id")
+    return df.withColumns(
+        {
+            "gender": F.when(key % 7 != 0, F.col("gender")),
+            "age": F.when(key % 11 != 0, F.col("age")),
+        }
+    )
+
+
+HOLES = f"""{CLEAN}, holes AS (SELECT appointment_id, split, neighbourhood,
+    CASE WHEN appointment_id % 7 <> 0 THEN gender END AS gender,
+    CASE WHEN appointment_id % 11 <> 0 THEN age END AS age, sms_received FROM cleaned)"""
+
+
+@query(
+    "filled_with_mode",
+    f"""WITH {HOLES}, m AS (SELECT gender AS g FROM holes WHERE split = 'train' AND gender IS NOT NULL
+      GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+    SELECT appointment_id, coalesce(gender, (SELECT g FROM m)) AS gender FROM holes""",
+)
+def filled_with_mode(spark, sf_dir):
+    df = _holes(rows(spark, sf_dir))
+    filled = P.impute_mode(split_part(df, "train", SPLIT), df, ["gender"])
+    return filled.select("appointment_id", "gender")
+
+
+@query(
+    "filled_with_median",
+    f"""WITH {HOLES} SELECT appointment_id, coalesce(CAST(age AS DOUBLE),
+      (SELECT quantile_cont(age, 0.5) FROM holes WHERE split = 'train')) AS age FROM holes""",
+)
+def filled_with_median(spark, sf_dir):
+    df = _holes(rows(spark, sf_dir))
+    filled = P.impute_median(split_part(df, "train", SPLIT), df, ["age"])
+    return filled.select("appointment_id", "age")
+
+
+@query(
+    "standardized",
+    f"""WITH {CLEAN}, s AS (SELECT avg(age) AS ma, stddev_pop(age) AS da, avg(sms_received) AS ms,
+      stddev_pop(sms_received) AS ds FROM cleaned WHERE split = 'train')
+    SELECT appointment_id, round((age - ma) / da, 6) AS age, round((sms_received - ms) / ds, 6) AS sms_received,
+      CAST(0 AS DOUBLE) AS constant FROM cleaned, s""",
+)
+def standardized(spark, sf_dir):
+    df = rows(spark, sf_dir).withColumn("constant", F.lit(7))
+    scaled = P.standardize(
+        split_part(df, "train", SPLIT), df, ["age", "sms_received", "constant"]
+    )
+    return r6(scaled.select("appointment_id", "age", "sms_received", "constant"), "age", "sms_received")
+
+
+@query(
+    "one_hot_slots",
+    f"""WITH {CLEAN}, w AS (SELECT split, CASE WHEN age <= 12 THEN 'child' WHEN age <= 18 THEN 'teen'
+        WHEN age <= 35 THEN 'young_adult' WHEN age <= 55 THEN 'adult' WHEN age <= 75 THEN 'senior' ELSE 'elderly' END AS age_group FROM cleaned),
+      cats AS (SELECT age_group, row_number() OVER (ORDER BY age_group) - 1 AS slot
+        FROM (SELECT DISTINCT age_group FROM w WHERE split = 'train' AND age_group <> 'teen'))
+    SELECT age_group, max(CAST(slot AS INTEGER)) AS slot, count(*) AS n FROM w LEFT JOIN cats USING (age_group) GROUP BY 1""",
+)
+def one_hot_slots(spark, sf_dir):
+    """Fitted without teens, who then get all zeros (no slot)."""
+    df = base_features(rows(spark, sf_dir)).select("age_group", "split")
+    train = df.where("split = 'train' AND age_group <> 'teen'")
+    hot = P.one_hot(["age_group"]).fit(train).transform(df)
+    place = F.array_position(vector_to_array("age_group_hot"), 1.0) - 1
+    slot = F.when(place >= 0, place).cast("int").alias("slot")
+    return hot.groupBy("age_group", slot).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "balanced_weights",
+    f"""WITH {CLEAN}, c AS (SELECT target, count(*) AS k FROM cleaned GROUP BY 1)
+    SELECT target, count(*) AS n, round((SELECT count(*) FROM cleaned) / (2.0 * max(k)), 6) AS weight
+    FROM cleaned JOIN c USING (target) GROUP BY 1""",
+)
+def balanced_weights(spark, sf_dir):
+    found = P.balanced_weight(rows(spark, sf_dir), "target")
+    by_class = found.groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")
+    )
+    return r6(by_class, "weight")
+
+
+@query("synthetic_appointments")
+def generated(spark, sf_dir):
+    return synthetic(spark, sf_dir)
+
+
+@query("assembled_vectors")
+def assembled_vectors(spark, sf_dir):
+    prepared, _, _ = _prepared(spark, sf_dir)
+    return prepared.select("appointment_id", vector_to_array("features").alias("features"))
+
+
+@query("logistic_coefficients")
+def logistic_coefficients(spark, sf_dir):
+    prepared, _, _ = _prepared(spark, sf_dir)
+    model = _logistic(spark, sf_dir)
+    names = F.array(*[F.lit(n) for n in P.feature_names(prepared)])
+    values = F.array(*[F.lit(float(c)) for c in model.coefficients.toArray()])
+    pairs = F.arrays_zip(names.alias("feature"), values.alias("coefficient"))
+    return prepared.limit(1).select(F.inline(pairs))
+
+
+@query("logistic_scores")
+def logistic_scores(spark, sf_dir):
+    """Prediction rows of the test part."""
+    prepared, _, _ = _prepared(spark, sf_dir)
+    test = prepared.where("split = 'test'")
+    return score_batch(test, _logistic(spark, sf_dir), 0.5, "1", keep=("appointment_id",))
+
+
+@query("boosted_scores")
+def boosted_scores(spark, sf_dir):
+    prepared, _, _ = _prepared(spark, sf_dir)
+    test = prepared.where("split = 'test'")
+    return score_batch(test, _boosted(spark, sf_dir), 0.5, "2", keep=("appointment_id",))
+
+
+@query("boosted_tuned_scores")
+def boosted_tuned_scores(spark, sf_dir):
+    prepared, _, _ = _prepared(spark, sf_dir)
+    model = ML.fit_boosted_tuned(prepared.where("split = 'train'"), trees=TUNED_TREES)
+    test = prepared.where("split = 'test'")
+    return score_batch(test, model, 0.5, "3", keep=("appointment_id",))
+
+
+@query("experiment_metrics")
+def experiment_metrics(spark, sf_dir):
+    """Fit, score and evaluate each experiment, a threshold chosen for one of them."""
+    metrics, _, _, _ = train_and_evaluate(
+        synthetic(spark, sf_dir),
+        SYNTH_SPLIT,
+        [
+            ML.Experiment("logistic_balanced", ML.fit_logistic),
+            ML.Experiment("boosted_balanced", lambda df: ML.fit_boosted(df, trees=5), None),
+        ],
+    )
+    return metrics
+
+
+@query("logistic_importance")
+def logistic_importance(spark, sf_dir):
+    prepared, _, _ = _prepared(spark, sf_dir)
+    val = prepared.where("split = 'val'")
+    return ML.linear_importance(val, _logistic(spark, sf_dir), "appointment_id")
+
+
+@query("boosted_importance")
+def boosted_importance(spark, sf_dir):
+    prepared, _, _ = _prepared(spark, sf_dir)
+    val = prepared.where("split = 'val'")
+    return ML.permutation_importance(val, _boosted(spark, sf_dir), "appointment_id")
+
+
+@query("reloaded_model_scores")
+def reloaded_model_scores(spark, sf_dir):
+    """Largest score difference of a saved and reloaded model: 0."""
+    whole = fitted_scorer(spark, sf_dir)
+    featured = whole.features.transform(with_target(synthetic(spark, sf_dir)))
+    return ML.save_load_check(whole.model, featured, shared_dir(spark, "model"))
+
+
+@query("gate_on_model_size")
+def gate_on_model_size(spark, sf_dir):
+    path = shared_dir(spark, "sized-model")
+    fitted_scorer(spark, sf_dir).model.write().save(path)
+    return gate_size(ML.artifact_size_mb(spark, path))
+
+

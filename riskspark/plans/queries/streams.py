@@ -1,0 +1,189 @@
+"""Streaming jobs over the driver's tables: the rows are written to a folder that is then
+read as a stream until its end, and the written results are read back."""
+
+from pyspark.sql import functions as F
+
+from riskspark.functions import normalize_label
+from riskspark.plans.adapter import requests
+from riskspark.plans.queries.base import REQ, query, r6, stamp
+from riskspark.plans.queries.drifting import FEEDBACK_ROWS, prediction_and_outcome_logs
+from riskspark.plans.queries.modelling import _boosted, _prepared, fitted_scorer
+from riskspark.plans.queries.sourcing import HOURS
+from riskspark.plans.queries.validating import REQUESTS, request_rows
+from riskspark.plans.training import Scorer, scorer
+from riskspark.session import configure, shared_dir
+from riskspark.sources.readers import read_request_stream
+from riskspark.streaming.feedback import feedback_stream
+from riskspark.streaming.scoring import Champion, score_stream, score_table
+from riskspark.streaming.telemetry import (
+    alerts_per_window_stream,
+    append_to_table,
+    score_histogram_stream,
+    service_windows_stream,
+)
+
+_AT = "strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start"
+_LAST = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM req)"
+
+
+def landed(df, purpose):
+    """Write the rows to a folder and read it as a stream."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return read_request_stream(df.sparkSession, path, df.schema)
+
+
+def finished(stream, purpose):
+    """Run the stream to its end into a table, and read the table."""
+    spark = stream.sparkSession
+    path = shared_dir(spark, purpose)
+    append_to_table(stream, path, shared_dir(spark, f"{purpose}-checkpoint")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query("streamed_requests", f"WITH {REQ} SELECT path, status, count(*) AS n FROM req GROUP BY 1, 2")
+def streamed_requests(spark, sf_dir):
+    table = finished(landed(requests(spark, sf_dir), "requests"), "request-log")
+    return table.groupBy("path", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "streamed_alerts_per_window",
+    f"""WITH {REQ}, w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(CAST(5 * i AS INTEGER)) AS window_start,
+      score >= 0.5 AS alert FROM req, range(12) t(i))
+    SELECT {_AT}, alert, count(*) AS n FROM w WHERE window_start + INTERVAL 1 HOUR <= {_LAST} GROUP BY 1, 2""",
+)
+def streamed_alerts_per_window(spark, sf_dir):
+    """Sliding hours that the watermark has closed."""
+    log = requests(spark, sf_dir).withColumn("alert", F.col("score") >= 0.5)
+    stream = alerts_per_window_stream(landed(log, "requests"))
+    return stamp(finished(stream, "alert-windows"), "window_start")
+
+
+@query(
+    "streamed_score_histogram",
+    f"""WITH {REQ}, {HOURS} SELECT {_AT}, CASE WHEN isinf(le) THEN 'inf' ELSE CAST(le AS VARCHAR) END AS le, n
+    FROM hist WHERE window_start + INTERVAL 1 HOUR <= {_LAST}""",
+)
+def streamed_score_histogram(spark, sf_dir):
+    stream = score_histogram_stream(landed(requests(spark, sf_dir), "requests"))
+    found = stamp(finished(stream, "score-histogram"), "window_start")
+    bound = F.when(F.col("le") == float("inf"), "inf").otherwise(F.col("le").cast("string"))
+    return found.withColumn("le", bound)
+
+
+@query(
+    "streamed_service_windows",
+    f"""WITH {REQ}, w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+      count(*) / CAST(300 AS DOUBLE) AS per_second,
+      (count(*) FILTER (WHERE status >= 500) / CAST(300 AS DOUBLE)) / greatest(count(*) / CAST(300 AS DOUBLE), 0.001) AS error_rate
+      FROM req GROUP BY 1)
+    SELECT {_AT}, round(per_second, 6) AS per_second, round(error_rate, 6) AS error_rate FROM w
+    WHERE window_start + INTERVAL 5 MINUTE <= {_LAST}""",
+)
+def streamed_service_windows(spark, sf_dir):
+    stream = service_windows_stream(landed(requests(spark, sf_dir), "requests"))
+    found = stamp(finished(stream, "service-windows"), "window_start")
+    return r6(found.select("window_start", "per_second", "error_rate"), "per_second", "error_rate")
+
+
+@query("streamed_feedback", f"WITH {FEEDBACK_ROWS}")
+def streamed_feedback(spark, sf_dir):
+    """Prediction log and outcomes as two streams, joined within 90 days."""
+    predictions, outcomes = prediction_and_outcome_logs(spark, sf_dir)
+    joined = feedback_stream(
+        landed(predictions, "predictions"),
+        landed(outcomes, "outcomes"),
+        "appointment_id",
+        "predicted_at",
+        "known_at",
+    )
+    label = normalize_label(F.col("no_show")).alias("label")
+    found = stamp(finished(joined, "feedback"), "known_at")
+    return found.select("appointment_id", "score", label, "known_at")
+
+
+def _champion(spark, sf_dir, log_path):
+    """Scorers 1 and 2 saved, alias log pointing at 1."""
+    prepared, builder, preprocessor = _prepared(spark, sf_dir)
+    base = shared_dir(spark, "versions")
+    fitted_scorer(spark, sf_dir).save(f"{base}/1")
+    scorer(builder, preprocessor, _boosted(spark, sf_dir), 0.5, "2").save(f"{base}/2")
+    move_alias(spark, log_path, "1", "2024-01-01")
+
+    def load(version, threshold):
+        return Scorer.load(spark, f"{base}/{version}", threshold, version)
+
+    return Champion(lambda: spark.read.parquet(log_path), load, "risk")
+
+
+def move_alias(spark, log_path, version, at):
+    """Append one move to the alias log."""
+    row = spark.range(1).select(
+        F.lit("risk").alias("name"),
+        F.lit("champion").alias("alias"),
+        F.lit(version).alias("version"),
+        F.lit(None).cast("double").alias("threshold"),
+        F.lit(at).cast("timestamp").alias("ts"),
+    )
+    row.write.mode("append").parquet(log_path)
+
+
+def _run_scoring(spark, source, champion, paths):
+    """Score what has landed in ``source`` since the last run."""
+    predictions, quarantine, checkpoint, path = paths
+    stream = read_request_stream(spark, path, source.schema)
+    score_stream(stream, champion, predictions, quarantine, checkpoint).awaitTermination()
+
+
+def _scoring_paths(spark):
+    return tuple(
+        shared_dir(spark, name) for name in ("predictions", "quarantine", "scoring-checkpoint", "inbox")
+    )
+
+
+@query(
+    "streamed_scores_equal_batch",
+    f"""WITH {REQUESTS}, bad AS (SELECT DISTINCT row_id FROM reasons)
+    SELECT (SELECT count(*) FROM dirty) - (SELECT count(*) FROM bad) AS scored, (SELECT count(*) FROM bad) AS refused,
+      0 AS mismatches""",
+)
+def streamed_scores_equal_batch(spark, sf_dir):
+    """Requests scored as a stream and as a table: counts and differing predictions."""
+    source = request_rows(configure(spark), sf_dir)
+    paths = _scoring_paths(spark)
+    champion = _champion(spark, sf_dir, shared_dir(spark, "alias-log"))
+    source.write.parquet(paths[3])
+    _run_scoring(spark, source, champion, paths)
+    streamed = spark.read.parquet(paths[0]).drop("batch")
+    refused = spark.read.parquet(paths[1]).agg(F.count(F.lit(1))).scalar()
+    batch, _ = score_table(source, fitted_scorer(spark, sf_dir))
+    names = ["patient_id", "score", "alert", "threshold", "model_version"]
+    left = streamed.select("request_id", F.struct(*names).alias("s"))
+    right = batch.select("request_id", F.struct(*names).alias("b"))
+    same = F.col("s").eqNullSafe(F.col("b"))
+    return left.join(right, "request_id", "full").agg(
+        F.count("s").alias("scored"),
+        F.max(refused).alias("refused"),
+        F.count_if(~same).alias("mismatches"),
+    )
+
+
+@query(
+    "scores_by_version",
+    f"""WITH {REQUESTS}, good AS (SELECT row_id FROM dirty WHERE row_id NOT IN (SELECT row_id FROM reasons))
+    SELECT CASE WHEN row_id % 2 = 0 THEN '1' ELSE '2' END AS model_version, count(*) AS n FROM good GROUP BY 1""",
+)
+def scores_by_version(spark, sf_dir):
+    """Half of the requests arrive before the alias moves to the second version, half after."""
+    source = request_rows(configure(spark), sf_dir)
+    paths = _scoring_paths(spark)
+    log_path = shared_dir(spark, "alias-log")
+    champion = _champion(spark, sf_dir, log_path)
+    source.where("request_id % 2 = 0").write.parquet(paths[3])
+    _run_scoring(spark, source, champion, paths)
+    move_alias(spark, log_path, "2", "2024-02-01")
+    source.where("request_id % 2 = 1").write.mode("append").parquet(paths[3])
+    _run_scoring(spark, source, champion, paths)
+    scored = spark.read.parquet(paths[0])
+    return scored.groupBy("model_version").agg(F.count(F.lit(1)).alias("n"))
