@@ -21,7 +21,8 @@ from riskspark.operators.metrics import (
     with_rates,
 )
 from riskspark.operators.metrics import _roc_auc as roc_auc_column
-from riskspark.operators.ordered import interpolated, running_totals
+from riskspark.operators.ordered import linear_quantiles, running_totals
+from riskspark.operators.skew import lookup_join
 from riskspark.schema import Policy
 
 EPSILON = 1e-6  # fixed value: floor of a bin's share
@@ -79,13 +80,10 @@ def reference_edges(counts: DataFrame, bins: int = 10) -> DataFrame:
     """
     ref = counts.where("ref > 0 AND category IS NULL").select("feature", "value", "ref")
     totals = running_totals(ref, "value", ["ref"], ["feature"])
-    step = 1.0 / bins
-    quantiles = ", ".join(
-        interpolated(min(i * step, 1.0), "value", "ref") for i in range(bins + 1)
-    )
-    edges = totals.groupBy("feature").agg(
-        F.expr(f"array_sort(array_distinct(array({quantiles})))").alias("e")
-    )
+    probs = [min(i * (1.0 / bins), 1.0) for i in range(bins + 1)]
+    found = linear_quantiles(totals, "value", probs, ["feature"], "ref")
+    names = ", ".join(f"q{i}" for i in range(bins + 1))
+    edges = found.selectExpr("feature", f"array_sort(array_distinct(array({names}))) AS e")
     return edges.selectExpr("feature", "filter(e, (_, i) -> i > 0 AND i < size(e) - 1) AS inner")
 
 
@@ -402,12 +400,12 @@ def build_feedback(
 ) -> DataFrame:
     """Predictions with the outcome that became known after them.
 
-    One prediction log may hold many rows per key; outcomes have one. Rows join on the event
-    id, so a busy entity makes no hot key.
+    One prediction log may hold many rows per key; outcomes have one. Keys with very many
+    predictions are spread over several tasks.
     """
-    late = F.col(f"o.{outcome_at}") >= F.col(f"p.{predicted_at}")
-    joined = predictions.alias("p").join(
-        outcomes.alias("o"), (F.col(f"p.{key}") == F.col(f"o.{key}")) & late
-    )
+    counts = predictions.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     extra = [c for c in outcomes.columns if c not in predictions.columns]
-    return joined.select("p.*", *[F.col(f"o.{c}") for c in extra])
+    known = outcomes.select(key, *extra).join(counts, key)
+    joined = lookup_join(predictions, known, [key], "_rows", how="inner")
+    late = F.col(outcome_at) >= F.col(predicted_at)
+    return joined.where(late).select(*predictions.columns, *extra)

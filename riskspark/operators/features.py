@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import Estimator, Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from riskspark.functions import (
     weekday_number,
 )
 from riskspark.operators.clean import parse_times
-from riskspark.operators.history import asof_history, fit_history
+from riskspark.operators.history import asof_history, fit_history, history_of
 from riskspark.schema import ROLES, Roles
 
 # The model's input columns.
@@ -134,12 +134,15 @@ class FeatureBuilderModel(Model):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         parsed = parse_times(df, [self.roles.known_at, self.roles.outcome_at])
-        with_history = asof_history(parsed, self.history, self.roles, self.prune_history)
-        return base_features(with_history, self.roles)
+        history = self.history
+        if self.prune_history:
+            history = history_of(history, parsed, self.roles)
+        return base_features(asof_history(parsed, history, self.roles), self.roles)
 
     def save(self, path: str) -> None:
-        """History as a table, column roles as one JSON line."""
-        self.history.write.parquet(f"{path}/history")
+        """History as a table in entity order, column roles as one JSON line."""
+        ordered = self.history.repartitionByRange("entity").sortWithinPartitions("entity", "day")
+        ordered.write.parquet(f"{path}/history")
         text = json.dumps(self.roles.__dict__)
         session = self.history.sparkSession
         session.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{path}/roles")
@@ -151,21 +154,42 @@ class FeatureBuilderModel(Model):
 
 
 def feature_parity(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(feature, rows, mismatches) of the same rows through two paths; missing rows mismatch.
+    """(feature, rows, mismatches) of the same rows through two paths.
 
-    Keys are expected once per side; a hot entity does not matter as rows join on their own id.
+    Both sides are grouped by row key instead of joined, so repeated keys combine on the map
+    side. A key that is missing on a side, or repeated differently, mismatches.
     """
-    left = a.select(F.col(key), F.struct(*columns).alias("a"))
-    right = b.select(F.col(key), F.struct(*columns).alias("b"))
-    both = left.join(right, key, "full")
-    one_side = F.col("a").isNull() | F.col("b").isNull()
-    counts = both.agg(
+
+    def side(df: DataFrame, number: int) -> DataFrame:
+        return df.select(key, F.lit(number).alias("_side"), *columns)
+
+    both = side(a, 0).unionByName(side(b, 1))
+
+    def on(number: int, column: Column) -> Column:
+        return F.when(F.col("_side") == number, column)
+
+    ends = []
+    for i, c in enumerate(columns):
+        # Wrapped, so that NULL values take part in the comparison.
+        cell = F.struct(F.col(c).alias("v"))
+        ends += [
+            f(on(n, cell)).alias(f"{name}{n}_{i}")
+            for n in (0, 1)
+            for name, f in (("low", F.min), ("high", F.max))
+        ]
+    counts = [F.count(on(n, F.lit(1))).alias(f"n{n}") for n in (0, 1)]
+    grouped = both.groupBy(key).agg(*counts, *ends)
+
+    def differs(i: int) -> Column:
+        same = F.col("n0") == F.col("n1")
+        for left, right in (("low0", "high0"), ("low0", "low1"), ("low1", "high1")):
+            same = same & F.col(f"{left}_{i}").eqNullSafe(F.col(f"{right}_{i}"))
+        return ~same
+
+    row = grouped.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[
-            F.count_if(one_side | ~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))).alias(c)
-            for c in columns
-        ],
+        *[F.count_if(differs(i)).alias(c) for i, c in enumerate(columns)],
     )
-    return counts.unpivot("rows", columns, "feature", "mismatches").select(
+    return row.unpivot("rows", columns, "feature", "mismatches").select(
         "feature", "rows", "mismatches"
     )

@@ -153,19 +153,47 @@ def score_parity(
 
     Rows found on one side only are counted, and fail the check.
     """
-    left = served.select(
-        key, F.col("score").alias("s"), F.col("alert").alias("a"), F.col("model_version").alias("v")
-    ).withColumn("in_served", F.lit(True))
-    right = local.select(key, F.col("score").alias("p")).withColumn("in_local", F.lit(True))
-    both = left.join(right, key, "full")
-    gap = F.abs(F.col("s") - F.col("p"))
-    row = both.agg(
+    nothing, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    both = served.select(
+        key, F.col("score").alias("s"), F.col("alert").alias("a"),
+        F.col("model_version").alias("v"), nothing.alias("p"), F.lit(1).alias("in_s"),
+        F.lit(0).alias("in_p"),
+    ).unionByName(
+        local.select(
+            key, nothing.alias("s"), F.lit(None).cast("boolean").alias("a"), text.alias("v"),
+            F.col("score").alias("p"), F.lit(0).alias("in_s"), F.lit(1).alias("in_p"),
+        )
+    )
+    # Grouped rather than joined: a key repeated many times combines on the map side. NaN sorts
+    # above all numbers, so it shows in the larger end.
+    keys = both.groupBy(key).agg(
+        F.sum("in_s").alias("in_s"),
+        F.sum("in_p").alias("in_p"),
+        *[f(c).alias(f"{name}_{c}") for c in "sp" for name, f in (("low", F.min), ("high", F.max))],
+        F.min("a").alias("low_a"),
+        F.max("a").alias("high_a"),
+        F.count("s").alias("scores"),
+        F.min("v").alias("low_v"),
+        F.max("v").alias("high_v"),
+    )
+    gap = F.greatest(
+        F.abs(F.col("high_s") - F.col("low_p")), F.abs(F.col("high_p") - F.col("low_s"))
+    )
+    wrong_alert = (F.col("low_a") != (F.col("high_p") >= threshold)) | (
+        F.col("high_a") != (F.col("low_p") >= threshold)
+    )
+    versions = F.array_distinct(
+        F.flatten(F.collect_set(F.array("low_v", "high_v")))
+    )
+    row = keys.agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.when(~F.isnan(gap), gap)).alias("max_difference"),
-        F.count_if(F.col("a") != (F.col("p") >= threshold)).alias("alert_mismatches"),
-        F.count_if(F.col("in_served") & (F.col("s").isNull() | F.isnan("s"))).alias("missing_scores"),
-        F.count_if(F.col("in_served").isNull() | F.col("in_local").isNull()).alias("unmatched"),
-        F.array_join(F.array_sort(F.collect_set("v")), ",").alias("versions"),
+        F.count_if(wrong_alert).alias("alert_mismatches"),
+        F.sum(
+            F.when(F.isnan("high_s"), 1).otherwise(0) + F.col("in_s") - F.col("scores")
+        ).alias("missing_scores"),
+        F.count_if(F.col("in_s") != F.col("in_p")).alias("unmatched"),
+        F.array_join(F.array_sort(versions), ",").alias("versions"),
     )
     ok = (
         (F.coalesce("max_difference", F.lit(0.0)) <= tolerance)

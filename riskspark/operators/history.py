@@ -63,20 +63,22 @@ def asof_lookup(df: DataFrame, history: DataFrame, roles: Roles = ROLES) -> Data
     return summed.where("rows > 0")
 
 
-def asof_history(
-    df: DataFrame,
-    history: DataFrame,
-    roles: Roles = ROLES,
-    prune_history: bool = False,
+def history_of(
+    history: DataFrame, batch: DataFrame, roles: Roles = ROLES, small: int = 100_000
 ) -> DataFrame:
-    """Add ``previous_appointments`` and ``previous_noshow_rate`` to every row.
+    """The history of a batch's entities, for a small batch against a large history.
 
-    ``prune_history`` first keeps only the entities of ``df``; use it for a small batch
-    against a large history.
+    The entities are counted first: a short list is broadcast, so that the history is filtered
+    where it is read; a long one joins by shuffle.
     """
-    if prune_history:
-        wanted = df.select(F.col(roles.entity).alias("entity")).distinct()
-        history = history.join(wanted, "entity", "left_semi")
+    wanted = batch.select(F.col(roles.entity).alias("entity")).distinct()
+    if wanted.limit(small + 1).count() <= small:
+        wanted = F.broadcast(wanted)
+    return history.join(wanted, "entity", "left_semi")
+
+
+def asof_history(df: DataFrame, history: DataFrame, roles: Roles = ROLES) -> DataFrame:
+    """Add ``previous_appointments`` and ``previous_noshow_rate`` to every row."""
     found = asof_lookup(df, history, roles).withColumnsRenamed(
         {"entity": roles.entity, "day": "_known_day"}
     )

@@ -223,7 +223,7 @@ def compare_at_budget(
     )
     tied = (
         df.where(F.col(label).isNotNull())
-        .join(cut.select(by, "cut"), by)
+        .join(F.broadcast(cut.select(by, "cut")), by)  # one row per experiment
         .where(F.col(score).cast("double") == F.col("cut"))
         .groupBy(by, event)
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("n"))

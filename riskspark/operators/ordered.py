@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 256
-SAMPLE_PER_RANGE = 16
+SAMPLE_PER_RANGE = 8
 
 
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -36,19 +36,24 @@ def _cut_points(points: DataFrame, key: Column, ranges: int) -> Column:
     return picked.scalar()
 
 
-def _range_number(cuts: Column, key: Column, ranges: int) -> Column:
-    """How many cut points lie below the key, by binary search."""
-    steps = []
-    step = 1
-    while step < ranges:
-        steps.insert(0, step)
-        step *= 2
+def _with_range(points: DataFrame, key: Column, ranges: int) -> DataFrame:
+    """Add ``_range``, how many cut points lie below the key, by unrolled binary search.
 
-    def advance(low: Column, width: Column) -> Column:
-        below = F.coalesce(F.get(cuts, low + width - 1) < key, F.lit(False))
-        return F.when(below, low + width).otherwise(low)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+    Plain array lookups stay inside one compiled stage, where the cut points are shared by all
+    rows instead of being copied into each.
+    """
+    columns = points.columns
+    width = 1
+    while 2 * width < ranges:
+        width *= 2
+    steps, low = [], "0"
+    while width:
+        below = f"coalesce(get(_cuts, {low} + {width - 1}) < _key, false)"
+        steps.append(f"{low} + IF({below}, {width}, 0) AS _low{width}")
+        low, width = f"_low{width}", width // 2
+    cut = points.select("*", key.alias("_key"), _cut_points(points, key, ranges).alias("_cuts"))
+    found = cut.selectExpr("*", *steps)
+    return found.select(*columns, F.col(low).alias("_range"))
 
 
 def running_totals(
@@ -68,9 +73,7 @@ def running_totals(
     """
     by = list(by)
     key = F.struct(*by, order) if by else F.col(order)
-    cuts = _cut_points(points, key, ranges)
-    located = points.withColumn("_cuts", cuts)
-    located = located.withColumn("_range", _range_number(F.col("_cuts"), key, ranges)).drop("_cuts")
+    located = _with_range(points, key, ranges)
 
     def sorted_by(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
@@ -122,22 +125,41 @@ def _at_rank(rank: str, value: str, count: str) -> str:
     return f"min(CASE WHEN run_{count} > {rank} THEN `{value}` END)"
 
 
-def interpolated(prob: float, value: str, count: str = "n") -> str:
-    """SQL aggregate over rows of ``running_totals``: linear-interpolated quantile."""
-    place = f"({float(prob)!r}D * (all_{count} - 1))"
-    low = _at_rank(f"floor({place})", value, count)
-    high = _at_rank(f"ceil({place})", value, count)
-    part = f"max({place} - floor({place}))"
-    # Measured from the nearer end, so that a place on an exact rank returns that value.
-    return (
-        f"CASE WHEN {part} >= 0.5D THEN {high} - ({high} - {low}) * (1 - {part}) "
-        f"ELSE {low} + ({high} - {low}) * {part} END"
-    )
+def _place(prob: float, total: str) -> str:
+    return f"{float(prob)!r}D * ({total} - 1)"
 
 
-def nearest_rank(prob: float, value: str, count: str = "n") -> str:
-    """SQL aggregate: the value at rank ``round(prob * (n - 1))``, halves to even."""
-    return _at_rank(f"rint({float(prob)!r}D * (all_{count} - 1))", value, count)
+def linear_quantiles(
+    totals: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], count: str = "n"
+) -> DataFrame:
+    """(by..., q0, q1, ...): linear-interpolated quantiles from rows of ``running_totals``."""
+    ends = [F.expr(f"max(all_{count})").alias("_total")]
+    for i, prob in enumerate(probs):
+        place = _place(prob, f"all_{count}")
+        for name, rank in (("low", f"floor({place})"), ("high", f"ceil({place})")):
+            ends.append(F.expr(_at_rank(rank, value, count)).alias(f"_{name}{i}"))
+    found = totals.groupBy(*by).agg(*ends)
+    out = []
+    for i, prob in enumerate(probs):
+        place = _place(prob, "_total")
+        part, gap = f"({place} - floor({place}))", f"(_high{i} - _low{i})"
+        # Measured from the nearer end, so that a place on an exact rank returns that value.
+        out.append(
+            f"IF({part} >= 0.5D, _high{i} - {gap} * (1 - {part}), _low{i} + {gap} * {part}) AS q{i}"
+        )
+    return found.selectExpr(*[f"`{c}`" for c in by], *out)
+
+
+def nearest_quantiles(
+    totals: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], count: str = "n"
+) -> DataFrame:
+    """(by..., q0, q1, ...): the values at rank ``round(prob * (n - 1))``, halves to even."""
+    return totals.groupBy(*by).agg(
+        *[
+            F.expr(_at_rank(f"rint({_place(p, f'all_{count}')})", value, count)).alias(f"q{i}")
+            for i, p in enumerate(probs)
+        ]
+    )
 
 
 def quantiles_of_counts(
@@ -150,11 +172,10 @@ def quantiles_of_counts(
     ranges: int = RANGES,
 ) -> DataFrame:
     """Exact quantiles per group from (group, value, count) rows."""
-    curve = running_totals(counts, value, [count], by, ranges=ranges)
-    pick = {"linear": interpolated, "nearest": nearest_rank}[method]
-    return curve.groupBy(*by).agg(
-        *[F.expr(pick(prob, value, count)).alias(name) for name, prob in probs.items()]
-    )
+    totals = running_totals(counts.select(*by, value, count), value, [count], by, ranges=ranges)
+    pick = {"linear": linear_quantiles, "nearest": nearest_quantiles}[method]
+    found = pick(totals, value, list(probs.values()), by, count)
+    return found.withColumnsRenamed({f"q{i}": name for i, name in enumerate(probs)})
 
 
 def exact_quantiles(

@@ -86,8 +86,11 @@ def failure_report(
 ) -> DataFrame:
     """(key..., column, check, value) for every failing cell, duplicates of unique keys included."""
     present = [f for f in fields if f.name in df.columns]
+    # Passing checks leave as NULL after the explode, which keeps the whole stage compiled.
+    found = [failure for field in present for failure in cell_failures(field)]
     cells = (
-        df.select(*key, F.explode(row_failures(present, extra)).alias("f"))
+        df.select(*key, F.explode(F.array(*found, *extra)).alias("f"))
+        .where(F.col("f").isNotNull())
         .select(*key, "f.column", "f.check", "f.value")
     )
     for unique in [f for f in present if f.unique]:

@@ -162,10 +162,11 @@ def assembled_vectors(spark, sf_dir):
 def logistic_coefficients(spark, sf_dir):
     prepared, _, _ = _prepared(spark, sf_dir)
     model = _logistic(spark, sf_dir)
-    names = F.array(*[F.lit(n) for n in P.feature_names(prepared)])
-    values = F.array(*[F.lit(float(c)) for c in model.coefficients.toArray()])
-    pairs = F.arrays_zip(names.alias("feature"), values.alias("coefficient"))
-    return prepared.limit(1).select(F.inline(pairs))
+    pairs = [
+        F.struct(F.lit(name).alias("feature"), F.lit(float(weight)).alias("coefficient"))
+        for name, weight in zip(P.feature_names(prepared), model.coefficients.toArray())
+    ]
+    return spark.range(1).select(F.inline(F.array(*pairs)))
 
 
 @query("logistic_scores")

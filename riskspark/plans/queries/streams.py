@@ -172,18 +172,20 @@ def streamed_scores_equal_batch(spark, sf_dir):
 @query(
     "scores_by_version",
     f"""WITH {REQUESTS}, good AS (SELECT row_id FROM dirty WHERE row_id NOT IN (SELECT row_id FROM reasons))
-    SELECT CASE WHEN row_id % 2 = 0 THEN '1' ELSE '2' END AS model_version, count(*) AS n FROM good GROUP BY 1""",
+    SELECT CASE WHEN appointment_day < '1998-05-01' THEN '1' ELSE '2' END AS model_version, count(*) AS n
+    FROM good JOIN dirty USING (row_id) GROUP BY 1""",
 )
 def scores_by_version(spark, sf_dir):
-    """Half of the requests arrive before the alias moves to the second version, half after."""
+    """Requests for early days arrive before the alias moves to the second version, others after."""
     source = request_rows(configure(spark), sf_dir)
     paths = _scoring_paths(spark)
     log_path = shared_dir(spark, "alias-log")
     champion = _champion(spark, sf_dir, log_path)
-    source.where("request_id % 2 = 0").write.parquet(paths[3])
+    early = F.col("appointment_day") < "1998-05-01"
+    source.where(early).write.parquet(paths[3])
     _run_scoring(spark, source, champion, paths)
     move_alias(spark, log_path, "2", "2024-02-01")
-    source.where("request_id % 2 = 1").write.mode("append").parquet(paths[3])
+    source.where(~early).write.mode("append").parquet(paths[3])
     _run_scoring(spark, source, champion, paths)
     scored = spark.read.parquet(paths[0])
     return scored.groupBy("model_version").agg(F.count(F.lit(1)).alias("n"))
