@@ -246,17 +246,25 @@ def distance_summary(rows: DataFrame, share_limit: float) -> DataFrame:
     )
 
 
+def prediction_drift_columns(
+    reference_rate: Column, current_rate: Column, policy: Policy = Policy()
+) -> dict[str, Column]:
+    """``delta`` and ``alert``; without a rate on one side there is no delta and no alert."""
+    delta = F.abs(current_rate - reference_rate)
+    alert = F.coalesce(delta >= policy.prediction_rate_delta_threshold, F.lit(False))
+    return {"delta": delta, "alert": alert}
+
+
 def prediction_drift(
     ref: DataFrame, cur: DataFrame, score: str, policy: Policy = Policy()
 ) -> DataFrame:
-    """(reference_rate, current_rate, delta, alert); delta is NULL if a side has no score."""
+    """(reference_rate, current_rate, delta, alert)."""
     rates = [positive_rate(side, score, policy.score_threshold) for side in (ref, cur)]
     row = rates[1].select(
         rates[0].scalar().alias("reference_rate"), F.col("positive_rate").alias("current_rate")
     )
-    delta = F.abs(F.col("current_rate") - F.col("reference_rate"))
-    alert = F.coalesce(delta >= policy.prediction_rate_delta_threshold, F.lit(False))
-    return row.withColumn("delta", delta).withColumn("alert", alert)
+    found = prediction_drift_columns(F.col("reference_rate"), F.col("current_rate"), policy)
+    return row.withColumns(found)
 
 
 def subgroup_rate(df: DataFrame, group: str, label: str) -> DataFrame:
@@ -282,8 +290,7 @@ def effect_delta(ref: DataFrame, cur: DataFrame, group: str, label: str) -> Data
     """(baseline_effect, current_effect, delta): how much the gap between the groups moved."""
 
     def effect(df: DataFrame) -> DataFrame:
-        columns = group_columns(F.col(group), F.col(label))
-        return df.agg((columns["rate1"] - columns["rate0"]).alias("effect"))
+        return df.agg(effect_column(F.col(group), F.col(label)).alias("effect"))
 
     row = effect(cur).select(
         effect(ref).scalar().alias("baseline_effect"), F.col("effect").alias("current_effect")
@@ -331,17 +338,21 @@ def performance_alert(performance: DataFrame, policy: Policy = Policy()) -> Data
     return performance.withColumn("performance_alert", alert)
 
 
+def effect_column(group: Column, label: Column) -> Column:
+    """Aggregate: rate of group 1 minus rate of group 0, NULL unless both have labelled rows."""
+    columns = group_columns(group, label)
+    return columns["rate1"] - columns["rate0"]
+
+
 def concept_drift(
-    performance: DataFrame, baseline: DataFrame, group: str, label: str, policy: Policy = Policy()
+    performance: DataFrame, baseline_effect: Column, policy: Policy = Policy()
 ) -> DataFrame:
     """Add effect_delta, performance_alert and concept_drift to a performance row.
 
     The effect counts only with enough labels overall and in both groups; a performance alert
     counts by itself.
     """
-    columns = group_columns(F.col(group), F.col(label))
-    base = baseline.agg((columns["rate1"] - columns["rate0"]).alias("effect")).scalar()
-    row = performance_alert(performance, policy).withColumn("_base", base)
+    row = performance_alert(performance, policy).withColumn("_base", baseline_effect)
     delta = F.abs(F.col("rate1") - F.col("rate0") - F.col("_base"))
     enough = F.col("enough_labeled_rows") & (F.least("n0", "n1") >= policy.min_group_rows)
     moved = F.coalesce(enough & (delta >= policy.effect_delta_threshold), F.lit(False))

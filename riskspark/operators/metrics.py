@@ -181,11 +181,17 @@ def metrics_by_split(
     )
 
 
+def positive_rate_column(score: Column, threshold: float) -> Column:
+    """Aggregate: share of scored rows at or above the threshold, NULL without scores."""
+    value = score.try_cast("double")
+    return F.avg(
+        F.when(value.isNotNull() & ~F.isnan(value), (value >= threshold).cast("double"))
+    )
+
+
 def positive_rate(df: DataFrame, score: str, threshold: float, by: Sequence[str] = ()) -> DataFrame:
-    """Share of rows at or above the threshold; NULL without scores."""
-    value = F.col(score).try_cast("double")
-    alert = F.when(value.isNotNull() & ~F.isnan(value), (value >= threshold).cast("double"))
-    return df.groupBy(*by).agg(F.avg(alert).alias("positive_rate"))
+    rate = positive_rate_column(F.col(score), threshold)
+    return df.groupBy(*by).agg(rate.alias("positive_rate"))
 
 
 def outreach_cost(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import asdict
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,10 +14,12 @@ from riskspark.operators.drift import (
     concept_drift,
     delayed_performance,
     drift_summary,
+    effect_column,
     feature_psi,
-    prediction_drift,
+    prediction_drift_columns,
 )
 from riskspark.operators.features import monitoring_features
+from riskspark.operators.metrics import positive_rate_column
 from riskspark.schema import Policy
 
 # Accepted spellings, in order of preference.
@@ -47,14 +49,23 @@ def with_group(df: DataFrame, name: str = "_group") -> DataFrame:
     return df.withColumn(name, column.try_cast("double"))
 
 
-def feedback_row(feedback: DataFrame, reference: DataFrame, policy: Policy) -> DataFrame:
+def side_facts(df: DataFrame, policy: Policy) -> DataFrame:
+    """(n, rate, effect) of one side from one scan: rows, positive rate, group effect."""
+    rows = with_group(with_score(with_label(df)))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        positive_rate_column(F.col("_score_in"), policy.score_threshold).alias("rate"),
+        effect_column(F.col("_group"), F.col("_label")).alias("effect"),
+    )
+
+
+def feedback_row(feedback: DataFrame, baseline_effect: Column, policy: Policy) -> DataFrame:
     """Performance and concept drift of the feedback rows, one row."""
     if resolve_column(feedback, LABEL_NAMES) is None or resolve_column(feedback, SCORE_NAMES) is None:
         raise ValueError("feedback needs a label column and a score column")
     rows = with_group(with_score(with_label(feedback)))
-    baseline = with_group(with_label(reference))
     performance = delayed_performance(rows, "_label", "_score_in", "_group", policy)
-    return concept_drift(performance, baseline, "_group", "_label", policy)
+    return concept_drift(performance, baseline_effect, policy)
 
 
 def monitoring_report(
@@ -67,27 +78,29 @@ def monitoring_report(
     """One nested row; every part is a scalar subquery over its own aggregate."""
     ref, cur = monitoring_features(reference), monitoring_features(current)
     common = [c for c in ref.columns if c in cur.columns]
-    psi = feature_psi(ref.select(common), cur.select(common))
-    sizes = [side.agg(F.count(F.lit(1)).alias("n")).scalar() for side in (ref, cur)]
-    drift = drift_summary(psi, policy)
-    moved = prediction_drift(with_score(reference), with_score(current), "_score_in", policy)
-
-    def as_struct(df: DataFrame):
-        return df.select(F.struct(*df.columns).alias("s")).scalar()
-
-    row = reference.sparkSession.range(1).select(
-        sizes[0].alias("reference_rows"),
-        sizes[1].alias("current_rows"),
-        as_struct(drift).alias("d"),
-        as_struct(moved).alias("p"),
-        *([as_struct(feedback_row(feedback, reference, policy)).alias("f")] if feedback is not None else []),
-    )
+    drift = drift_summary(feature_psi(ref.select(common), cur.select(common)), policy)
+    facts = side_facts(reference, policy)
+
+    def as_struct(df: DataFrame, name: str) -> Column:
+        return df.select(F.struct(*df.columns)).scalar().alias(name)
+
+    parts = [
+        as_struct(facts, "r"),
+        as_struct(side_facts(current, policy), "c"),
+        as_struct(drift, "d"),
+    ]
+    if feedback is not None:
+        effect = facts.select("effect").scalar()
+        parts.append(as_struct(feedback_row(feedback, effect, policy), "f"))
+    row = reference.sparkSession.range(1).select(*parts)
+    moved = prediction_drift_columns(F.col("r.rate"), F.col("c.rate"), policy)
     if feedback is None:
         concept, state = F.lit(False), F.lit("waiting_for_labeled_feedback")
         performance, delta, alert = F.lit(None), F.lit(None).cast("double"), F.lit(False)
     else:
-        concept, delta, alert = F.col("f.concept_drift"), F.col("f.effect_delta"), F.col("f.performance_alert")
-        state = F.when(F.col("f.enough_labeled_rows"), "enough_labels").otherwise("not_enough_labels")
+        concept, alert = F.col("f.concept_drift"), F.col("f.performance_alert")
+        delta, enough = F.col("f.effect_delta"), F.col("f.enough_labeled_rows")
+        state = F.when(enough, "enough_labels").otherwise("not_enough_labels")
         rates = F.filter(
             F.array(
                 F.struct(F.lit("0").alias("g"), F.col("f.rate0").alias("r")),
@@ -113,19 +126,19 @@ def monitoring_report(
         ]
     )
     stamp = F.lit(generated_at).cast("timestamp") if generated_at else F.current_timestamp()
-    decided = action_columns(concept, F.col("d.alert"), F.col("p.alert"), state)
+    decided = action_columns(concept, F.col("d.alert"), moved["alert"], state)
     return row.select(
         stamp.alias("generated_at"),
-        "reference_rows",
-        "current_rows",
+        F.col("r.n").alias("reference_rows"),
+        F.col("c.n").alias("current_rows"),
         F.array(*[F.lit(c) for c in common]).alias("features_checked"),
         F.col("d.by_feature").alias("feature_psi"),
         F.col("d.drifted").alias("drifted_features"),
         F.col("d.drift_share").alias("drift_share"),
         F.col("d.alert").alias("data_drift_alert"),
-        F.col("p.current_rate").alias("prediction_positive_rate"),
-        F.col("p.delta").alias("prediction_positive_rate_delta"),
-        F.col("p.alert").alias("prediction_drift_alert"),
+        F.col("c.rate").alias("prediction_positive_rate"),
+        moved["delta"].alias("prediction_positive_rate_delta"),
+        moved["alert"].alias("prediction_drift_alert"),
         state.alias("label_state"),
         performance.alias("performance"),
         delta.alias("effect_delta"),

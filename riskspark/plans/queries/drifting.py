@@ -249,7 +249,8 @@ CONCEPT = f"""{FEEDBACK}, concept AS (SELECT abs(now - base) AS delta, labeled_r
 )
 def concept_drift(spark, sf_dir):
     ref, found = _performance(spark, sf_dir)
-    row = D.concept_drift(found, ref, "sms_received", "target")
+    effect = D.effect_column(F.col("sms_received"), F.col("target"))
+    row = D.concept_drift(found, with_target(ref).agg(effect).scalar())
     return r6(row.select("effect_delta", "performance_alert", "concept_drift"), "effect_delta")
 
 

@@ -15,6 +15,7 @@ from riskspark.operators.prep import fit_preprocessor
 from riskspark.operators.scoring import prediction_columns, with_score
 from riskspark.operators.validate import check_split, require_valid
 from riskspark.schema import TABLE_FIELDS, Split
+from riskspark.session import materialize
 
 
 @dataclass
@@ -49,11 +50,16 @@ class Scorer:
 
 
 def prepare(raw: DataFrame, split: Split) -> tuple[DataFrame, FeatureBuilderModel, PipelineModel]:
-    """Split rows with features and vectors; both fitted on the train part only."""
+    """Split rows with features and vectors; both fitted on the train part only.
+
+    History and features are written once: fill values, scaling, categories and every fit read
+    the features again, and none of them should repeat the history join.
+    """
     rows = with_target(time_split(clean(raw), split))
     train = rows.where(F.col("split") == split.names[0])
     builder = FeatureBuilder().fit(train)
-    featured = builder.transform(rows)
+    builder.history = materialize(builder.history, "history")
+    featured = materialize(builder.transform(rows), "features")
     preprocessor = fit_preprocessor(featured.where(F.col("split") == split.names[0]))
     return preprocessor.transform(featured), builder, preprocessor
 
