@@ -34,7 +34,7 @@ NUMERIC = [
     "sms_received",
     "lead_time_days",
     "previous_appointments",
-    "previous_noshow_rate",
+    "previous_miss_rate",
 ]
 
 # Columns that drift monitoring looks at, and those it treats as text.

@@ -78,7 +78,7 @@ def history_of(
 
 
 def asof_history(df: DataFrame, history: DataFrame, roles: Roles = ROLES) -> DataFrame:
-    """Add ``previous_appointments`` and ``previous_noshow_rate`` to every row."""
+    """Add ``previous_appointments`` and ``previous_miss_rate`` to every row."""
     found = asof_lookup(df, history, roles).withColumnsRenamed(
         {"entity": roles.entity, "day": "_known_day"}
     )
@@ -88,5 +88,5 @@ def asof_history(df: DataFrame, history: DataFrame, roles: Roles = ROLES) -> Dat
     return joined.select(
         *df.columns,
         count.alias("previous_appointments"),
-        ratio(F.col("prev_k"), F.col("prev_n")).alias("previous_noshow_rate"),
+        ratio(F.col("prev_k"), F.col("prev_n")).alias("previous_miss_rate"),
     )

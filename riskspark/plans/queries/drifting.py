@@ -337,10 +337,45 @@ def nested_report(spark, sf_dir):
     return _report(spark, sf_dir)
 
 
-@query("monitoring_report_as_metrics")
+def _without_clean(sql: str) -> str:
+    return sql.removeprefix(f"{CLEAN}, ")
+
+
+_PLAIN_TEXT = {"gender": "gender", "neighbourhood": "neighbourhood"}
+_TEXT_PART = f"""tcells AS ({long_sql(_PLAIN_TEXT, 'VARCHAR')}),
+  tbinned AS (SELECT feature, coalesce(v, '<missing>') AS bin, count(*) FILTER (WHERE side = 'ref') AS ref,
+    count(*) FILTER (WHERE side = 'cur') AS cur FROM tcells GROUP BY 1, 2),
+  {PSI.replace('psi AS (', 'tpsi AS (', 1).replace('FROM binned', 'FROM tbinned')}"""
+
+REPORT_METRICS = f"""{CONCEPT}, {_without_clean(numeric_psi_sql(shifted=True))}, {_TEXT_PART},
+  every AS (SELECT feature, round(psi, 6) AS psi FROM psi UNION ALL SELECT feature, round(psi, 6) FROM tpsi),
+  d AS (SELECT round(count(*) FILTER (WHERE psi >= 0.2) / CAST(count(*) AS DOUBLE), 6) AS share FROM every),
+  rates AS (SELECT avg(CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END) FILTER (WHERE split = 'train') AS a,
+    avg(CASE WHEN score >= 0.5 THEN 1.0 ELSE 0.0 END) FILTER (WHERE split = 'test') AS b FROM cleaned),
+  one AS (SELECT * FROM d, rates, perf, concept),
+  m AS (SELECT 'report_available' AS metric, 1.0 AS v
+    UNION ALL SELECT 'data_drift_share', share FROM one
+    UNION ALL SELECT 'concept_drift_suspected', CAST(moved OR low AS INTEGER) FROM one
+    UNION ALL SELECT 'performance_alert', CAST(low AS INTEGER) FROM one
+    UNION ALL SELECT 'retrain_recommended', CAST(moved OR low AS INTEGER) FROM one
+    UNION ALL SELECT 'prediction_positive_rate', b FROM one
+    UNION ALL SELECT 'prediction_drift_alert', CAST(abs(b - a) >= 0.1 AS INTEGER) FROM one
+    UNION ALL SELECT 'effect_delta', delta FROM one
+    UNION ALL SELECT 'last_run_timestamp_seconds', epoch(TIMESTAMP '{GENERATED}')
+    UNION ALL SELECT 'labeled_rows', labeled_rows FROM one UNION ALL SELECT 'roc_auc', roc_auc FROM one
+    UNION ALL SELECT 'precision', prec FROM one UNION ALL SELECT 'recall', recall FROM one
+    UNION ALL SELECT 'accuracy', accuracy FROM one
+    UNION ALL SELECT 'drift_share_threshold', 0.2 UNION ALL SELECT 'min_roc_auc_threshold', 0.7
+    UNION ALL SELECT 'effect_delta_threshold', 0.1 UNION ALL SELECT 'p95_latency_threshold_seconds', 0.2
+    UNION ALL SELECT 'error_rate_threshold', 0.01 UNION ALL SELECT 'min_labeled_rows_threshold', 200)
+  SELECT metric, NULL AS label, round(CAST(v AS DOUBLE), 6) AS "value" FROM m
+  UNION ALL SELECT 'feature_psi', feature, psi FROM every"""
+
+
+@query("monitoring_report_as_metrics", f"WITH {REPORT_METRICS}")
 def report_metrics(spark, sf_dir):
     """The report written as JSON, read back with its schema, and turned into metric rows."""
     report = _report(spark, sf_dir)
     path = shared_dir(spark, "report")
     write_report(report, path)
-    return report_to_metrics(spark.read.schema(report.schema).json(path))
+    return r6(report_to_metrics(spark.read.schema(report.schema).json(path)), "value")

@@ -47,7 +47,7 @@ def patient_history(spark, sf_dir):
 @query(
     "asof_history",
     f"""WITH {HISTORY} SELECT appointment_id, split, CAST(prev_n AS DOUBLE) AS previous_appointments,
-      round(CASE WHEN prev_n = 0 THEN 0 ELSE prev_k / CAST(prev_n AS DOUBLE) END, 6) AS previous_noshow_rate
+      round(CASE WHEN prev_n = 0 THEN 0 ELSE prev_k / CAST(prev_n AS DOUBLE) END, 6) AS previous_miss_rate
     FROM known""",
 )
 def asof_patient_history(spark, sf_dir):
@@ -55,9 +55,9 @@ def asof_patient_history(spark, sf_dir):
     cleaned = rows(spark, sf_dir).select("appointment_id", "patient_id", "scheduled_day", "appointment_day", "split", "target")
     history = fit_history(split_part(cleaned, "train", SPLIT))
     found = asof_history(cleaned, history).select(
-        "appointment_id", "split", "previous_appointments", "previous_noshow_rate"
+        "appointment_id", "split", "previous_appointments", "previous_miss_rate"
     )
-    return r6(found, "previous_noshow_rate")
+    return r6(found, "previous_miss_rate")
 
 
 @query(
@@ -67,7 +67,7 @@ def asof_patient_history(spark, sf_dir):
 )
 def asof_history_by_split(spark, sf_dir):
     found = asof_patient_history(spark, sf_dir)
-    missed = F.col("previous_appointments") * F.col("previous_noshow_rate")
+    missed = F.col("previous_appointments") * F.col("previous_miss_rate")
     return found.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("previous_appointments").alias("appointments"),
@@ -99,27 +99,27 @@ FEATURES = [
     "appointment_weekday",
     "age_group",
     "previous_appointments",
-    "previous_noshow_rate",
+    "previous_miss_rate",
 ]
 
 
 @query(
     "built_features",
     f"""WITH {HISTORY} SELECT appointment_id, {_BASE}, CAST(prev_n AS DOUBLE) AS previous_appointments,
-      round(CASE WHEN prev_n = 0 THEN 0 ELSE prev_k / CAST(prev_n AS DOUBLE) END, 6) AS previous_noshow_rate
+      round(CASE WHEN prev_n = 0 THEN 0 ELSE prev_k / CAST(prev_n AS DOUBLE) END, 6) AS previous_miss_rate
     FROM known""",
 )
 def built_features(spark, sf_dir):
     """The fitted feature object over all parts."""
     cleaned = rows(spark, sf_dir)
     model = FeatureBuilder().fit(split_part(cleaned, "train", SPLIT))
-    return r6(model.transform(cleaned).select("appointment_id", *FEATURES), "previous_noshow_rate")
+    return r6(model.transform(cleaned).select("appointment_id", *FEATURES), "previous_miss_rate")
 
 
 @query(
     "feature_parity",
     f"""WITH {CLEAN}, f AS (SELECT unnest(['lead_time_days', 'appointment_weekday', 'age_group',
-      'previous_appointments', 'previous_noshow_rate']) AS feature)
+      'previous_appointments', 'previous_miss_rate']) AS feature)
     SELECT feature, (SELECT count(*) FROM cleaned WHERE split = 'test') AS rows, 0 AS mismatches FROM f""",
 )
 def same_features_both_ways(spark, sf_dir):

@@ -19,7 +19,7 @@ from riskspark.plans.queries import QUERIES
 from riskspark.schema import Split
 from tests.conftest import SF
 
-FACTS = ["previous_appointments", "previous_noshow_rate"]
+FACTS = ["previous_appointments", "previous_miss_rate"]
 
 
 def test_clean_drops_and_clips(appointments):
@@ -152,7 +152,7 @@ def test_builder_round_trip_and_parity(spark, appointments, tmp_path):
     assert {r["mismatches"] for r in feature_parity(a, b, "appointment_id", FACTS).collect()} == {0}
     moved = b.withColumn("previous_appointments", F.lit(5.0)).where("appointment_id < 3")
     found = {r["feature"]: r["mismatches"] for r in feature_parity(a, moved, "appointment_id", FACTS).collect()}
-    assert found == {"previous_appointments": 3, "previous_noshow_rate": 1}
+    assert found == {"previous_appointments": 3, "previous_miss_rate": 1}
 
 
 def test_monitoring_features_differ_from_model_features(appointments):

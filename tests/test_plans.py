@@ -55,7 +55,7 @@ def test_entry_and_registry(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and len(queries) > 90
     found = entry.entry(spark)
-    assert found.columns == ["appointment_id", "split", "previous_appointments", "previous_noshow_rate"]
+    assert found.columns == ["appointment_id", "split", "previous_appointments", "previous_miss_rate"]
     assert found.count() > 1000
 
 

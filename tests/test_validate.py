@@ -10,10 +10,10 @@ from riskspark.operators.validate import (
     check_unique,
     coerce_types,
     failure_report,
-    file_verdicts,
     require_rows,
     require_valid,
 )
+from riskspark.plans.validation import validate_files
 from riskspark.schema import RAW_FIELDS, TABLE_FIELDS
 from riskspark.sources.readers import file_digest, ingest, read_raw, table_fingerprint, verify_digest
 from riskspark.streaming.scoring import accepted_rows, judge
@@ -127,21 +127,22 @@ def test_unique_reports_every_copy_of_a_hot_key(spark):
 
 
 def test_file_verdicts(spark, tmp_path):
-    paths = {n: write(tmp_path, n, lines) for n, lines in
-             (("good.csv", GOOD), ("bad.csv", BAD), ("cases.csv", CASES), ("none.csv", []))}
-    raw = read_raw(spark, list(paths.values()))
-    with_file = spark.read.option("header", True).csv(list(paths.values())).select(
-        "*", F.col("_metadata.file_name").alias("file")
-    )
-    assert set(raw.columns) <= set(with_file.columns)
-    files = spark.createDataFrame([(n,) for n in paths], "file string")
-    found = {r["file"]: r for r in file_verdicts(with_file, RAW_FIELDS, files).collect()}
-    assert found["good.csv"]["status"] == "VALID" and found["good.csv"]["expected"]
-    assert found["bad.csv"]["problems"] == 3
-    assert found["cases.csv"]["problems"] == 7
-    assert found["none.csv"]["status"] == "INVALID"
-    failing = file_verdicts(with_file, RAW_FIELDS, files, expect_fail=True)
-    assert {r["file"] for r in failing.where("NOT expected").collect()} == {"good.csv"}
+    paths = {
+        name: write(tmp_path, name, lines)
+        for name, lines in (("good", GOOD), ("bad", BAD), ("cases", CASES), ("none", []))
+    }
+    extra = tmp_path / "extra"
+    extra.write_text(HEADER + ",More\n" + GOOD[0] + ",1\n")
+    paths["extra"] = str(extra)
+    names = {path: name for name, path in paths.items()}
+    found = {names[r["file"]]: r for r in validate_files(spark, list(paths.values())).collect()}
+    problems = {name: r["problems"] for name, r in found.items()}
+    assert problems == {"good": 0, "bad": 3, "cases": 7, "none": 1, "extra": 1}
+    assert [name for name, r in found.items() if r["expected"]] == ["good"]
+    failing = validate_files(spark, list(paths.values()), expect_fail=True)
+    assert [names[r["file"]] for r in failing.where("NOT expected").collect()] == ["good"]
+    only = validate_files(spark, [paths["extra"]]).first()
+    assert only["status"] == "INVALID"
 
 
 def test_digest(spark, tmp_path):
