@@ -61,8 +61,9 @@ def numeric_psi_sql(shifted: bool = False) -> str:
   binned AS (SELECT feature, bin, sum(ref) AS ref, sum(cur) AS cur FROM placed GROUP BY 1, 2), {PSI}"""
 
 
-def sides(spark, sf_dir, shifted=False):
-    cleaned = rows(spark, sf_dir, place=True)
+def sides(spark, sf_dir, shifted=False, place=False):
+    """Train and test part; the place name costs two joins and is added only where it is used."""
+    cleaned = rows(spark, sf_dir, place)
     ref, cur = (split_part(cleaned, part, SPLIT) for part in ("train", "test"))
     return ref, D.shift_covariates(cur) if shifted else cur
 
@@ -91,7 +92,7 @@ TEXT_PSI = f"""{CLEAN}, cells AS ({long_sql(_TEXT, 'VARCHAR')}),
 
 def _text_sides(spark, sf_dir):
     hole = F.when(F.col("appointment_id") % 9 != 0, F.col("neighbourhood"))
-    return [monitoring_features(s.withColumn("neighbourhood", hole)) for s in sides(spark, sf_dir)]
+    return [monitoring_features(s.withColumn("neighbourhood", hole)) for s in sides(spark, sf_dir, place=True)]
 
 
 @query("psi_categorical", f"WITH {TEXT_PSI} SELECT feature, round(psi, 6) AS psi FROM psi")
@@ -327,8 +328,8 @@ def feedback_rows(spark, sf_dir):
 
 
 def _report(spark, sf_dir):
-    ref, cur = sides(spark, sf_dir, shifted=True)
-    feedback = D.shift_concept(split_part(rows(spark, sf_dir, place=True), "test", SPLIT))
+    ref, cur = sides(spark, sf_dir, shifted=True, place=True)
+    feedback = D.shift_concept(split_part(rows(spark, sf_dir), "test", SPLIT))
     return monitoring_report(ref, cur, feedback, generated_at=GENERATED)
 
 
