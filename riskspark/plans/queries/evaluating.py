@@ -313,7 +313,8 @@ def served_predictions(spark, sf_dir):
     f"""WITH {CLEAN}, p AS (SELECT round(score, 6) AS s, score >= 0.5 AS a,
       CASE WHEN appointment_id % 1000 = 1 THEN score + 0.25 ELSE score END AS p FROM cleaned)
     SELECT count(*) AS rows, round(max(abs(s - p)), 6) AS max_difference,
-      count(*) FILTER (WHERE a <> (p >= 0.5)) AS alert_mismatches, 0 AS missing_scores, 0 AS unmatched,
+      count(*) FILTER (WHERE a <> (p >= 0.5)) AS alert_mismatches,
+      CAST(0 AS BIGINT) AS missing_scores, CAST(0 AS BIGINT) AS unmatched,
       '7' AS versions, max(abs(s - p)) <= 1e-6 AND count(*) FILTER (WHERE a <> (p >= 0.5)) = 0 AS parity FROM p""",
 )
 def parity_of_scores(spark, sf_dir):

@@ -16,8 +16,7 @@ from riskspark.plans.queries.base import APPT, CLEAN, HISTORY, query, r6, rows
 from riskspark.schema import ROLES
 from riskspark.session import shared_dir
 
-_BASE = """CASE WHEN date_diff('day', scheduled_day, appointment_day) < 0 THEN 0
-      ELSE date_diff('day', scheduled_day, appointment_day) END AS lead_time_days,
+_BASE = """CAST(greatest(date_diff('day', scheduled_day, appointment_day), 0) AS INTEGER) AS lead_time_days,
     dayname(appointment_day) AS appointment_weekday,
     CASE WHEN age <= 12 THEN 'child' WHEN age <= 18 THEN 'teen' WHEN age <= 35 THEN 'young_adult'
       WHEN age <= 55 THEN 'adult' WHEN age <= 75 THEN 'senior' ELSE 'elderly' END AS age_group"""
@@ -120,7 +119,7 @@ def built_features(spark, sf_dir):
     "feature_parity",
     f"""WITH {CLEAN}, f AS (SELECT unnest(['lead_time_days', 'appointment_weekday', 'age_group',
       'previous_appointments', 'previous_miss_rate']) AS feature)
-    SELECT feature, (SELECT count(*) FROM cleaned WHERE split = 'test') AS rows, 0 AS mismatches FROM f""",
+    SELECT feature, (SELECT count(*) FROM cleaned WHERE split = 'test') AS rows, CAST(0 AS BIGINT) AS mismatches FROM f""",
 )
 def same_features_both_ways(spark, sf_dir):
     """Test rows through the training object, and through its saved and pruned copy."""

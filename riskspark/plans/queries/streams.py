@@ -146,7 +146,7 @@ def _scoring_paths(spark):
     "streamed_scores_equal_batch",
     f"""WITH {REQUESTS}, bad AS (SELECT DISTINCT row_id FROM reasons)
     SELECT (SELECT count(*) FROM dirty) - (SELECT count(*) FROM bad) AS scored, (SELECT count(*) FROM bad) AS refused,
-      0 AS mismatches""",
+      CAST(0 AS BIGINT) AS mismatches""",
 )
 def streamed_scores_equal_batch(spark, sf_dir):
     """Requests scored as a stream and as a table: counts and differing predictions."""
