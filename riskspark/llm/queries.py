@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.common import table
+from riskspark.llm.decontaminate import find_overlaps
 from riskspark.llm.sharding import hilbert_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,44 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
+
+
+OP7_SQL = r"""WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iwin AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, list_slice(w, s, s + least(10, len(w)) - 1) AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s
+        FROM iw WHERE len(w) > 0)),
+dwin AS (
+  SELECT doc_id, n, s, list_slice(w, s, s + n - 1) AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM dw, (SELECT DISTINCT n FROM iwin))),
+hit AS (SELECT d.doc_id, d.s, d.n, i.item_id FROM dwin d JOIN iwin i ON d.n = i.n AND d.g = i.g),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY 1),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN places USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+@query("op7_winnowing", OP7_SQL)
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside ten-word windows of the benchmark."""
+    found = find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
