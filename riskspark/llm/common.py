@@ -132,10 +132,3 @@ def lower_ascii() -> np.ndarray:
     codes[65:91] = codes[97:123]
     return codes
 
-
-def arrow(schema: str) -> pa.Schema:
-    """Arrow schema of a DDL string, as Spark expects it from mapInArrow."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(schema))
