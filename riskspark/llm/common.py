@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskspark.session import shared_dir
 
@@ -29,6 +30,13 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_rows(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+    """Join on (id, like); a null id equals a null id."""
+    right = right.withColumnsRenamed({"id": "_id2", "like": "_like2"})
+    match = F.col("id").eqNullSafe(F.col("_id2")) & (F.col("like") == F.col("_like2"))
+    return left.join(right, match, how).drop("_id2", "_like2")
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import table
 from riskspark.llm.decontaminate import find_overlaps
 from riskspark.llm.maxscore import top_k
+from riskspark.llm.pii import KINDS, find_personal_data
 from riskspark.llm.sharding import hilbert_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,23 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every fiftieth one."""
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op3_disclosing_terms")
+def op3_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, and the terms that give it away."""
+
+    def joined(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return find_personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "added")).alias("spans"),
+    )
