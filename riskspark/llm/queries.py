@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskspark.llm import toxicity
 from riskspark.llm.common import table
 from riskspark.llm.decontaminate import find_overlaps
 from riskspark.llm.maxscore import top_k
@@ -121,3 +122,21 @@ def op3_disclosing_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.concat("base", "added")).alias("spans"),
     )
+
+
+def held_out():
+    """Rows that no label may be learnt from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+@query("op4_counterfactual")
+def op4_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, by a classifier fitted on rows that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~held_out()))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
