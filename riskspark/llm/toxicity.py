@@ -127,10 +127,11 @@ def minimise(
     change = (swapped - x[pairs]) if len(pairs) else None
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        wrong = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -50, 50))) - y
-        slope = np.append(x.T @ wrong / len(y) + ridge * w[:-1], wrong.mean())
+        at = w[:-1].astype(x.dtype)
+        wrong = 1 / (1 + np.exp(-np.clip(x @ at + w[-1], -50, 50))) - y
+        slope = np.append(wrong.astype(x.dtype) @ x / len(y) + ridge * w[:-1], wrong.mean())
         if change is not None:
-            slope[:-1] += 2 * penalty * (change.T @ (change @ w[:-1])) / len(pairs)
+            slope[:-1] += 2 * penalty * ((change @ at) @ change) / len(pairs)
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         w -= 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
     return w
