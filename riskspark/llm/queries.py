@@ -12,7 +12,9 @@ from riskspark.llm.common import table
 from riskspark.llm.decontaminate import find_overlaps
 from riskspark.llm.maxscore import top_k
 from riskspark.llm.pii import KINDS, find_personal_data
+from riskspark.llm.pieces import load
 from riskspark.llm.sharding import hilbert_shards
+from riskspark.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +142,9 @@ def op4_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces in the best segmentation of every document."""
+    return token_counts(table(spark, sf_dir, "documents"), load())
