@@ -13,6 +13,7 @@ from riskspark.llm.decontaminate import find_overlaps
 from riskspark.llm.maxscore import top_k
 from riskspark.llm.pii import KINDS, find_personal_data
 from riskspark.llm.pieces import load
+from riskspark.llm.sampling import sample_encode
 from riskspark.llm.sharding import hilbert_shards
 from riskspark.llm.token_counts import token_counts
 
@@ -148,3 +149,18 @@ def op4_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces in the best segmentation of every document."""
     return token_counts(table(spark, sf_dir, "documents"), load())
+
+
+@query("op1_gumbel_pieces")
+def op1_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document, with digests of the pieces."""
+    found = sample_encode(table(spark, sf_dir, "documents"), load(), k=2)
+    return found.select(
+        "doc_id",
+        "rank",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        "log_prob",
+        "inclusion",
+        "decodes",
+    )
