@@ -27,36 +27,46 @@ SLICE = 3_000_000
 
 
 class PieceTable:
-    """Pieces by length, for looking up all substrings of a length at once."""
+    """The pieces as a trie whose steps can be taken by many places of a text at once."""
+
+    BITS = 20
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.lengths = sorted({len(p) for p in vocabulary.pieces})
-        self.by_length = {}
-        for n in self.lengths:
-            own = [i for i, p in enumerate(vocabulary.pieces) if len(p) == n]
-            codes = np.array([[ord(c) for c in vocabulary.pieces[i]] for i in own], np.uint64)
-            hashes = self.hash(codes)
-            order = np.argsort(hashes, kind="stable")
-            self.by_length[n] = hashes[order], codes[order], np.array(own, np.int64)[order]
         self.scores = np.array([*vocabulary.scores, vocabulary.unknown_score])
-
-    @staticmethod
-    def hash(codes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(codes), np.uint64)
-        for column in codes.T:
-            out = (out + column) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
-        return out
-
-    def find(self, windows: np.ndarray) -> np.ndarray:
-        """Number of the piece that each row of character codes spells, or -1."""
-        hashes, codes, number = self.by_length[windows.shape[1]]
-        at = np.minimum(np.searchsorted(hashes, own := self.hash(windows)), len(hashes) - 1)
-        maybe = np.flatnonzero(hashes[at] == own)
-        out = np.full(len(windows), -1)
-        real = maybe[(codes[at[maybe]] == windows[maybe]).all(axis=1)]
-        out[real] = number[at[real]]
+        steps: dict[tuple[int, int], int] = {}
+        ends = {0: -1}
+        for number, piece in enumerate(vocabulary.pieces):
+            node = 0
+            for char in piece:
+                node = steps.setdefault((node, ord(char)), len(steps) + 1)
+            ends[node] = number
+        self.piece = np.array([ends.get(i, -1) for i in range(len(steps) + 1)], np.int64)
+        keys = np.array([n << 21 | c for n, c in steps], np.int64)
+        bucket = self._bucket(keys)
+        order = np.argsort(bucket, kind="stable")
+        # A key that no step has, so that a look past the last bucket finds nothing.
+        self.keys = np.append(keys[order], -1)
+        self.child = np.append(np.array(list(steps.values()), np.int64)[order], 0)
+        self.begin = np.searchsorted(bucket[order], np.arange((1 << self.BITS) + 1)).astype(np.int32)
+
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The node that each character leads to, or 0."""
+        keys = nodes << 21 | chars
+        bucket = self._bucket(keys)
+        at, end = self.begin[bucket].astype(np.int64), self.begin[bucket + 1]
+        out = np.where((at < end) & (self.keys[at] == keys), self.child[at], 0)
+        more = np.flatnonzero((out == 0) & (at + 1 < end))
+        while len(more):
+            at[more] += 1
+            hit = self.keys[at[more]] == keys[more]
+            out[more[hit]] = self.child[at[more[hit]]]
+            more = more[~hit]
+            more = more[at[more] + 1 < end[more]]
         return out
 
 
@@ -67,46 +77,56 @@ class Lattices:
     first: np.ndarray  # node of each word's start
     last: np.ndarray  # node of each word's end
     begin: np.ndarray  # first edge of each node; begin[node + 1] ends them
-    to: np.ndarray  # node at the end of each edge
+    start: np.ndarray  # node that an edge leaves
+    to: np.ndarray  # node that it reaches
     piece: np.ndarray  # piece number, or -1 - code point of an unknown character
     logp: np.ndarray  # log probability of the edge, given its node
-    reach: np.ndarray  # node + running sum of its edges' probabilities
+    reach: np.ndarray  # running sum of the node's probabilities; 1 at its last edge
 
     def choose(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each node by its uniform number; nodes must not be ends of words."""
-        return np.searchsorted(self.reach, nodes + u, side="right")
+        edge = self.begin[nodes]
+        more = np.flatnonzero(self.reach[edge] <= u)
+        while len(more):
+            edge[more] += 1
+            more = more[self.reach[edge[more]] <= u[more]]
+        return edge
 
 
 def build(words: list[str], table: PieceTable, theta: float) -> Lattices:
     lengths = np.array([len(w) for w in words], np.int64)
-    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     ends = np.cumsum(lengths + 1) - 1  # every word has a node more than characters
     first = ends - lengths
     node = np.arange(len(codes)) + np.repeat(np.arange(len(words)), lengths)  # of each character
     left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters to the word's end
     starts, tos, numbers = [], [], []
     single = np.zeros(len(codes), bool)
-    for n in table.lengths:
-        at = np.flatnonzero(left >= n)
-        if not len(at):
-            continue
-        found = table.find(np.stack([codes[at + i] for i in range(n)], axis=1))
-        at, found = at[found >= 0], found[found >= 0]
+    at, state, n = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+    while len(at):
+        state = table.step(state, codes[at + n])
+        on = state > 0
+        at, state, n = at[on], state[on], n + 1
+        piece = table.piece[state]
+        whole = piece >= 0
+        starts.append(at[whole])
+        tos.append(node[at[whole]] + n)
+        numbers.append(piece[whole])
         if n == 1:
-            single[at] = True
-        starts.append(at)
-        tos.append(node[at] + n)
-        numbers.append(found)
+            single[at[whole]] = True
+        on = left[at] > n
+        at, state = at[on], state[on]
     lost = np.flatnonzero(~single)
     starts.append(lost)
     tos.append(node[lost] + 1)
-    numbers.append(-1 - codes[lost].astype(np.int64))
-    start, to, piece = map(np.concatenate, (starts, tos, numbers))
+    numbers.append(-1 - codes[lost])
+    # Long pieces first: they are the likelier ones, and choosing tries a node's edges in turn.
+    start, to, piece = (np.concatenate(x[::-1]) for x in (starts, tos, numbers))
     weight = theta * table.scores[np.where(piece >= 0, piece, -1)]
     order = np.argsort(start, kind="stable")
     start, to, piece, weight = node[start[order]], to[order], piece[order], weight[order]
     n_nodes = int(ends[-1]) + 1 if len(words) else 0
-    begin = np.searchsorted(start, np.arange(n_nodes + 1))
+    begin = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=n_nodes))])
     # Log weight of everything from a node on, from the words' ends backwards.
     beta = np.zeros(n_nodes)
     by_left = np.argsort(left, kind="stable")
@@ -122,21 +142,20 @@ def build(words: list[str], table: PieceTable, theta: float) -> Lattices:
         beta[nodes] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count)), offsets))
         value[edges] = v
     logp = np.minimum(value - beta[start], 0.0)
-    # Running sums inside each node; the last one is exactly 1.
     total = np.cumsum(np.exp(logp))
     before = np.append(0.0, total)[begin[start]]
-    reach = start + np.minimum(total - before, 1.0)
-    final = begin[1:][begin[1:] > begin[:-1]] - 1
-    reach[final] = start[final] + 1.0
-    logp[(begin[1:] - begin[:-1])[start] == 1] = 0.0
-    return Lattices(first, ends, begin, to, piece, logp, np.maximum.accumulate(reach))
+    reach = total - before
+    counts = np.diff(begin)
+    reach[begin[1:][counts > 0] - 1] = 1.0
+    logp[counts[start] == 1] = 0.0
+    return Lattices(first, ends, begin, start, to, piece, logp, reach)
 
 
 def uniform(seed: np.ndarray, path: int, word: np.ndarray, step: np.ndarray | int, use: int) -> np.ndarray:
     """Numbers in (0, 1) that depend on the row's seed and the place in the search only."""
     x = seed + np.asarray(word, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x = mix(x + np.asarray(step, np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(8 * path + use))
-    return np.clip((x >> np.uint64(11)).astype(np.float64) * 2.0**-53, 1e-15, 1 - 1e-8)
+    return np.clip((x >> np.uint64(11)).astype(np.float64) * 2.0**-53, 1e-15, 1 - 1e-15)
 
 
 def walk(
@@ -225,19 +244,14 @@ class Search:
             first = cut[texts]
             taken = np.array([np.exp(lat.logp[g]).sum() for g in (gone[t] for t in texts)])
             left[first] = 1.0 - taken
-        single = lat.begin[self._node(word, edges) + 1] - lat.begin[self._node(word, edges)] == 1
-        left[single] = 0.0
         if lead is not None:
-            node = self._node(word[first], edges[first])
+            node = lat.start[edges[first]]
             full = lat.begin[node + 1] - lat.begin[node] == np.array([len(gone[t]) for t in texts])
             left[first[full]] = 0.0
         u = uniform(self.seeds[text], number, self.place[word], step, 1)
         rest = _untaken(lat, left, edges, at, value[text], u)
         return Path(cut, edges, word, step, at, gone, value, rest, parent, keep)
 
-    def _node(self, word: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.lat.begin, edges, side="right") - 1
-
     def run(self, k: int) -> np.ndarray:
         """Find k paths and return the noisy value of the next one."""
         lat, n = self.lat, self.n
@@ -278,7 +292,7 @@ class Search:
             path, at = self.paths[who[t]], where[t]
             start = path.bounds[t]
             taken = path.gone[t] if at == start and path.gone[t] else [int(path.edges[at])]
-            node = self._node(path.word[at : at + 1], path.edges[at : at + 1])[0]
+            node = lat.start[path.edges[at]]
             open_edges = [e for e in range(lat.begin[node], lat.begin[node + 1]) if e not in taken]
             p = np.exp(lat.logp[open_edges])
             edge = open_edges[min(int(np.searchsorted(np.cumsum(p), u[t] * p.sum(), side="right")), len(p) - 1)]
@@ -301,20 +315,23 @@ class Search:
             )
         )
 
-    def edges_of(self, number: int, t: int) -> np.ndarray:
-        """All edges of a path, with those that it shares with its parents."""
+    def parts(self, number: int, t: int) -> list[np.ndarray]:
+        """All edges of a path, with those that it shares with its parents, in order."""
         path, tail, parts = self.paths[number], None, []
         while True:
             a, b = path.bounds[t], path.bounds[t + 1]
             parts.append(path.edges[a : b if tail is None else a + tail])
             if path.parent[t] < 0:
-                return np.concatenate(parts[::-1])
+                return parts[::-1]
             tail, path = path.keep[t], self.paths[path.parent[t]]
 
-    def log_probability(self, number: int, t: int) -> float:
+    def log_probabilities(self, number: int) -> np.ndarray:
         path = self.paths[number]
-        a, b = path.bounds[t], path.bounds[t + 1]
-        return float(path.before[b - 1] + self.lat.logp[path.edges[b - 1]]) if b > a else 0.0
+        out = np.zeros(self.n)
+        has = np.flatnonzero(np.diff(path.bounds) > 0)
+        last = path.bounds[has + 1] - 1
+        out[has] = path.before[last] + self.lat.logp[path.edges[last]]
+        return out
 
 
 class Ids:
@@ -334,25 +351,36 @@ class Ids:
         self.start = np.cumsum(self.length) - self.length
         self.raw = np.frombuffer(b"".join(spelled), np.uint8)
 
-    def of_edges(self, piece: np.ndarray) -> np.ndarray:
+    def of_pieces(self, piece: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of texts' piece numbers, and their bounds; unknown characters are spelled out."""
         lost = np.flatnonzero(piece < 0)
-        if not len(lost):
-            return self.normal[piece]
-        out, at = [], 0
-        for i in lost:
-            out.append(self.normal[piece[at:i]])
-            ids = self.vocabulary.unknown(chr(-1 - int(piece[i])))
+        count = np.ones(len(piece), np.int64)
+        chars, which = np.unique(piece[lost], return_inverse=True)
+        spelled = [self.vocabulary.unknown(chr(-1 - int(c))) for c in chars]
+        count[lost] = np.array([len(x) for x in spelled], np.int64)[which] if len(lost) else 0
+        if not self.vocabulary.byte_ids and len(lost):
             # Without byte pieces a run of unknown characters is one unknown piece.
-            out.append([] if not self.vocabulary.byte_ids and i > 0 and piece[i - 1] < 0 else ids)
-            at = i + 1
-        out.append(self.normal[piece[at:]])
-        return np.concatenate([np.asarray(x, np.int64) for x in out])
-
-    def decode(self, ids: np.ndarray) -> bytes:
+            first = np.zeros(len(piece) + 1, bool)
+            first[bounds] = True
+            count[lost[(lost > 0) & (piece[lost - 1] < 0) & ~first[lost]]] = 0
+        at = np.cumsum(count) - count
+        out = np.zeros(count.sum(), np.int64)
+        out[at[piece >= 0]] = self.normal[piece[piece >= 0]]
+        for c, ids in enumerate(spelled):
+            places = at[lost[(which == c) & (count[lost] > 0)]]
+            for i, one in enumerate(ids):
+                out[places + i] = one
+        return out, np.append(0, np.cumsum(count))[bounds]
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """Texts that the ids between the bounds spell, without the space in front."""
         length = self.length[ids]
-        where = np.repeat(self.start[ids] - (np.cumsum(length) - length), length) + np.arange(length.sum())
-        text = self.raw[where].tobytes()
-        return text[1:] if text.startswith(b" ") else text
+        ends = np.cumsum(length)
+        where = np.repeat(self.start[ids] - (ends - length), length) + np.arange(length.sum())
+        text, cut = self.raw[where].tobytes(), np.append(0, ends)[bounds].tolist()
+        return [
+            text[a + (text[a : a + 1] == b" " and a < b) : b] for a, b in zip(cut[:-1], cut[1:], strict=True)
+        ]
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", to: str = "text") -> DataFrame:
@@ -370,7 +398,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", to:
         ids = Ids(sent.value)
         for batch in batches:
             found = [
-                None if p is None else ids.decode(np.array(p, np.int64)).decode("utf-8", "replace")
+                None if p is None else ids.decode(np.array(p, np.int64), np.array([0, len(p)]))[0].decode("utf-8", "replace")
                 for p in batch.column(len(kept)).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
@@ -380,10 +408,23 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", to:
     return source.mapInArrow(apply, schema)
 
 
+@dataclass
+class Samples:
+    """Sampled segmentations, text by text."""
+
+    text: np.ndarray  # text number
+    rank: np.ndarray
+    ids: np.ndarray
+    bounds: np.ndarray  # of each sample's ids
+    log_prob: np.ndarray
+    noisy: np.ndarray
+    inclusion: np.ndarray
+
+
 def encode_slice(
     texts: list[str], seeds: np.ndarray, table: PieceTable, ids: Ids, k: int, theta: float
-) -> Iterator[tuple[int, int, np.ndarray, float, float, float]]:
-    """(text number, rank, piece ids, log probability, noisy log probability, inclusion)."""
+) -> Samples:
+    """k distinct segmentations of each text, or all where there are fewer."""
     numbers: dict[str, int] = {}
     word_ids, bounds = [], [0]
     for text in texts:
@@ -392,14 +433,17 @@ def encode_slice(
     lat = build(list(numbers), table, theta)
     search = Search(lat, np.array(word_ids, np.int64), np.array(bounds), seeds)
     kappa = search.run(k)
-    for t in range(len(texts)):
-        for number in range(k):
-            value = search.paths[number].value[t]
-            if number and value == -np.inf:
-                break
-            logp = search.log_probability(number, t)
-            inclusion = -np.expm1(-np.exp(logp - kappa[t])) if kappa[t] > -np.inf else 1.0
-            yield t, number + 1, ids.of_edges(lat.piece[search.edges_of(number, t)]), logp, float(value), inclusion
+    noisy = np.stack([p.value for p in search.paths], axis=1)
+    log_prob = np.stack([search.log_probabilities(i) for i in range(k)], axis=1)
+    text, path = np.nonzero(noisy > -np.inf)
+    parts = [search.parts(i, t) for t, i in zip(text.tolist(), path.tolist(), strict=True)]
+    lengths = [sum(map(len, p)) for p in parts]
+    edges = np.concatenate([e for p in parts for e in p]) if parts else np.zeros(0, np.int64)
+    found, cut = ids.of_pieces(lat.piece[edges], np.append(0, np.cumsum(lengths)).astype(np.int64))
+    log_prob, noisy = log_prob[text, path], noisy[text, path]
+    with np.errstate(over="ignore"):
+        inclusion = -np.expm1(-np.exp(log_prob - kappa[text]))  # 1 where nothing had to be beaten
+    return Samples(text, path + 1, found, cut, log_prob, noisy, inclusion)
 
 
 def sample_encode(
@@ -424,27 +468,27 @@ def sample_encode(
     columns are ignored. Row by row, no shuffle.
     """
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = docs.sparkSession.sparkContext.broadcast((PieceTable(vocabulary), Ids(vocabulary)))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, ids = PieceTable(sent.value), Ids(sent.value)
+        table, ids = sent.value
         for rows, _, _ in text_slices(batches, limit=SLICE):
             texts = rows.column(2).to_pylist()
             seeds = rows.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            found = list(encode_slice(texts, seeds, table, ids, k, theta))
-            lengths = [len(f[2]) for f in found]
-            spelled = [texts[f[0]].replace(MARK, " ").encode() == ids.decode(f[2]) for f in found]
-            pieces = pa.ListArray.from_arrays(
-                pa.array(np.append(0, np.cumsum(lengths)), pa.int32()),
-                pa.array(np.concatenate([f[2] for f in found]) if found else np.zeros(0), pa.int32()),
-            )
+            found = encode_slice(texts, seeds, table, ids, k, theta)
+            want = [t.replace(MARK, " ").encode() for t in texts]
+            spelled = ids.decode(found.ids, found.bounds)
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column(0).take(pa.array([f[0] for f in found], pa.int64())),
-                    pa.array([f[1] for f in found], pa.int32()),
-                    pieces,
-                    *[pa.array([f[c] for f in found], pa.float64()) for c in (3, 4, 5)],
-                    pa.array(spelled, pa.bool_()),
+                    rows.column(0).take(pa.array(found.text)),
+                    pa.array(found.rank.astype(np.int32)),
+                    pa.ListArray.from_arrays(
+                        pa.array(found.bounds.astype(np.int32)), pa.array(found.ids.astype(np.int32))
+                    ),
+                    pa.array(found.log_prob),
+                    pa.array(found.noisy),
+                    pa.array(found.inclusion),
+                    pa.array([want[t] == s for t, s in zip(found.text.tolist(), spelled, strict=True)], pa.bool_()),
                 ],
                 names=["id", "rank", "pieces", "log_prob", "noisy", "inclusion", "decodes"],
             )

@@ -45,12 +45,20 @@ def draw(v, text, n, k, theta=0.3):
     seeds = np.random.default_rng(1).integers(0, 2**63, n).astype(np.uint64)
     table, ids = PieceTable(v), Ids(v)
     out = [[] for _ in range(n)]
-    for t, rank, found, logp, noisy, inclusion in encode_slice([text] * n, seeds, table, ids, k, theta):
-        assert rank == len(out[t]) + 1
-        out[t].append((tuple(found.tolist()), logp, noisy, inclusion))
+    s = encode_slice([text] * n, seeds, table, ids, k, theta)
+    for i, t in enumerate(s.text):
+        assert s.rank[i] == len(out[t]) + 1
+        found = tuple(s.ids[s.bounds[i] : s.bounds[i + 1]].tolist())
+        out[t].append((found, s.log_prob[i], s.noisy[i], s.inclusion[i]))
     return out
 
 
+def test_runs_of_unknown_characters_without_byte_pieces():
+    v = vocabulary([(MARK, 1), ("a", 2)])
+    s = encode_slice(["cca", "c", "c"], np.arange(3).astype(np.uint64), PieceTable(v), Ids(v), 1, 1.0)
+    assert [s.ids[a:b].tolist() for a, b in zip(s.bounds, s.bounds[1:])] == [[1, 0, 2], [1, 0], [1, 0]]
+
+
 @pytest.mark.parametrize("text", ["abab", "ab ba", "cab"])
 def test_paths_and_probabilities(text):
     want = all_paths(SMALL, text, 0.3)
