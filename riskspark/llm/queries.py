@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskspark.llm import toxicity
 from riskspark.llm.common import table
 from riskspark.llm.decontaminate import find_overlaps
+from riskspark.llm.jaccard import near_duplicates
 from riskspark.llm.maxscore import top_k
 from riskspark.llm.pii import KINDS, find_personal_data
 from riskspark.llm.pieces import load
@@ -164,3 +165,29 @@ def op1_gumbel_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         "inclusion",
         "decodes",
     )
+
+
+OP6_SQL = r"""WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, list_slice(w, s, s + least(4, len(w)) - 1) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS s
+        FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (
+  WITH RECURSIVE r(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a)
+  SELECT a, min(b) AS b FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(b, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id"""
+
+
+@query("op6_jaccard_regions", OP6_SQL)
+def op6_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 percent of their four-word n-grams."""
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
