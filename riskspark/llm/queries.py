@@ -16,6 +16,7 @@ from riskspark.llm.pii import KINDS, find_personal_data
 from riskspark.llm.pieces import load
 from riskspark.llm.sampling import sample_encode
 from riskspark.llm.sharding import hilbert_shards
+from riskspark.llm.suffixes import remove_repeats
 from riskspark.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +192,17 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id"""
 def op6_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 percent of their four-word n-grams."""
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+@query("op10_suffix_levels")
+def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 400 bytes cover which start elsewhere too."""
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    covered = F.aggregate("removed", F.lit(0), lambda n, r: n + r["end"] - r["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        covered.cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"),
+    )
