@@ -7,6 +7,10 @@ document's n-grams, but not more than n - ceil(t n), so the window of a document
 many + 1 rarest ones: it is copied to their regions, and every linked pair meets in one.
 Regions with the same smallest document are one region.
 
+Fixed pivots, the classes of n-grams by hash, then thin the regions: documents whose counts in
+the classes differ by more than a link allows cannot link, so a document that no other one of its
+region is near to by all counts leaves it before any set is moved.
+
 Inside a region documents are pivots. With all distances to a few pivots known, two documents
 can only be linked if their distances to every pivot differ by no more than the join distance.
 Regions above a size are cut so, across the cluster and again and again: by distance to a pivot
@@ -18,7 +22,7 @@ them: copies and near copies link to one another through it, and no component is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,11 @@ CHUNK = 1 << 12
 REGION = 3_000
 ROUNDS = 4
 PIVOTS = 8
+# Hash classes whose n-gram counts are compared before sets are.
+CLASSES = 64
+_EDGES = (np.arange(1, CLASSES, dtype=np.uint64) << np.uint64(58)).astype(np.uint64)
+# Documents up to this many are sent to every task instead of shuffling the texts to them.
+BROADCAST_ROWS = 1_000_000
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -113,22 +122,26 @@ def _sizes_and_sketch(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, size: int, percent: int, sketch) -> DataFrame:
-    """Per row its rarest n-grams, as many as a linked partner cannot lack all of."""
+    """Per row its rarest n-grams, as many as a linked partner cannot lack all of, and its class counts."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         for rows, raw, offsets in text_slices(batches):
-            found = []
+            found, counted = [], []
             for s in shingles(raw, offsets, size):
+                cuts = np.searchsorted(s, _EDGES)
+                counted.append(np.minimum(np.diff(cuts, prepend=0, append=len(s)), 65_535).astype(np.uint16).tobytes())
                 keep = len(s) - needed(len(s), percent) + 1 if len(s) else 0
                 rare = np.lexsort((s, counts[(s & np.uint64(SKETCH - 1)).astype(np.int64)]))[:keep]
                 found.append(s[rare].view(np.int64))
             bounds = np.append(0, np.cumsum([len(f) for f in found])).astype(np.int32)
             grams = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found)))
-            yield pa.RecordBatch.from_arrays([rows.column(0), grams], names=["id", "grams"])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), grams, pa.array(counted, pa.binary())], names=["id", "grams", "counts"]
+            )
 
-    return docs.mapInArrow(apply, f"id {kind}, grams array<long>")
+    return docs.mapInArrow(apply, f"id {kind}, grams array<long>, counts binary")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -202,6 +215,67 @@ def links_of_region(sets: list[np.ndarray], percent: int, own: np.ndarray | None
     return links
 
 
+def within_counts(counts: np.ndarray, percent: int, sides: np.ndarray | None = None) -> np.ndarray:
+    """Which rows of class counts have another row that a link's difference would allow.
+
+    A link leaves at most (n + m)(1 - t) / (1 + t) n-grams that only one of both holds, and counts
+    cannot differ by more than that in all.
+    """
+    total = counts.sum(axis=1)
+    keep = np.zeros(len(counts), bool)
+    for x in range(len(counts)):
+        apart = np.abs(counts - counts[x]).sum(axis=1)
+        near = apart * (100 + percent) <= (total + total[x]) * (100 - percent)
+        if sides is not None:
+            near &= sides != sides[x]
+        near[x] = False
+        if near.any():
+            keep[x] = True
+            keep |= near
+    return keep
+
+
+def _thinned(members: DataFrame, percent: int) -> DataFrame:
+    """Rows of (region, side, id, counts) that may link with another one of their region."""
+    kind = members.schema["id"].dataType.simpleString()
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+
+        def close(region: list) -> None:
+            if len(region) > 1:
+                # Counts were cut at the largest number that fits; sums of them only shrink by it.
+                counts = np.frombuffer(b"".join(r[3] for r in region), np.uint16).reshape(-1, CLASSES).astype(np.int32)
+                sides = np.array([r[1] for r in region])
+                if (counts == 65_535).any():
+                    out.extend(r[:3] for r in region)
+                    return
+                keep = within_counts(counts, percent, None if (sides < 0).all() else sides)
+                out.extend(r[:3] for r, k in zip(region, keep.tolist(), strict=True) if k)
+
+        now, region, id_type = None, [], None
+        for batch in batches:
+            id_type = batch.column(2).type
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != now:
+                    close(region)
+                    now, region = row[0], []
+                region.append(row)
+            if len(out) > 10_000:
+                yield _columns(out, [pa.int64(), pa.int32(), id_type], ["region", "side", "id"])
+                out.clear()
+        close(region)
+        if out:
+            yield _columns(out, [pa.int64(), pa.int32(), id_type], ["region", "side", "id"])
+
+    sorted_rows = members.select("region", "side", "id", "counts").repartition("region").sortWithinPartitions("region")
+    return sorted_rows.mapInArrow(apply, f"region long, side int, id {kind}")
+
+
+def _columns(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+
 def _links(members: DataFrame, percent: int) -> DataFrame:
     """Links inside each region of (region, side, id, grams); rows come sorted by region."""
     kind = members.schema["id"].dataType.simpleString()
@@ -225,11 +299,11 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
                     now, region = r, []
                 region.append((i, side, g))
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, id_type) for x in zip(*out, strict=True)], names=["a", "b"])
+                yield _columns(out, [id_type, id_type], ["a", "b"])
                 out = []
         out += close(region)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, id_type) for x in zip(*out, strict=True)], names=["a", "b"])
+            yield _columns(out, [id_type, id_type], ["a", "b"])
 
     # An Arrow batch holds whole sets, so it is kept short by rows.
     sorted_rows = members.select("region", "side", "id", "grams").repartition("region").sortWithinPartitions("region")
@@ -258,7 +332,7 @@ def _distances(pairs: DataFrame) -> DataFrame:
     return chosen.mapInArrow(apply, f"region long, id {kind}, pivot {kind}, share long, whole long")
 
 
-def _cut_large(regions: DataFrame, sets: DataFrame, percent: int, limit: int) -> tuple[DataFrame, list[DataFrame]]:
+def _cut_large(regions: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, limit: int) -> tuple[DataFrame, list[DataFrame]]:
     """Regions of (region, side, id) with at most ``limit`` rows, and the links met on the way."""
     links: list[DataFrame] = []
     done: list[DataFrame] = []
@@ -273,6 +347,7 @@ def _cut_large(regions: DataFrame, sets: DataFrame, percent: int, limit: int) ->
         regions = written(regions.join(large, "region"), "regions")
         if turn == ROUNDS:
             break
+        sets = sets_of(regions.select("id"))
         # The pivot's set goes to its region's rows, spread over size / limit reducers.
         parts = F.ceil(F.col("size") / limit).cast("int")
         pivots = large.join(sets.withColumnsRenamed({"id": "pivot", "grams": "pivot_grams"}), "pivot").select(
@@ -372,10 +447,17 @@ def near_duplicates(
         .distinct()
     )
     regions = written(regions, "jaccard-regions")
-    met = regions.select("id").distinct()
-    sets = written(_sets(rows.join(met, "id", "left_semi"), size), "jaccard-sets")
-    parts, links = _cut_large(regions, sets, percent, region)
-    links.append(_links(parts.join(sets, "id"), percent))
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = written(ids.distinct(), "jaccard-wanted")
+        small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        texts = rows.join(F.broadcast(wanted) if small else wanted, "id", "left_semi")
+        return written(_sets(texts, size), "jaccard-sets")
+
+    parts, links = _cut_large(regions, sets_of, percent, region)
+    counted = windows.join(ones, "id", "left_semi").select("id", "counts")
+    parts = written(_thinned(parts.join(counted, "id"), percent).distinct(), "jaccard-thinned")
+    links.append(_links(parts.join(sets_of(parts.select("id")), "id"), percent))
     reached = components(_all(links))
     return _label(sized, classes, reached, key)
 
