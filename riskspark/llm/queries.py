@@ -11,6 +11,7 @@ from riskspark.llm import toxicity
 from riskspark.llm.common import table
 from riskspark.llm.decontaminate import find_overlaps
 from riskspark.llm.jaccard import near_duplicates
+from riskspark.llm.licenses import scan_licenses
 from riskspark.llm.maxscore import top_k
 from riskspark.llm.pii import KINDS, find_personal_data
 from riskspark.llm.pieces import load
@@ -206,3 +207,11 @@ def op10_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"),
     )
+
+
+@query("op8_license_cosine")
+def op8_license_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, filed under its source and language, own or inherited."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
