@@ -37,6 +37,15 @@ def join_rows(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame
     return left.join(right, match, how).drop("_id2", "_like2")
 
 
+# Ids up to this many are sent to every task instead of shuffling the texts to them.
+FEW_IDS = 1_000_000
+
+
+def sent_if_few(df: DataFrame, limit: int = FEW_IDS) -> DataFrame:
+    """A written table, to be broadcast if it has at most ``limit`` rows; else joins shuffle."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

@@ -74,10 +74,11 @@ def find_overlaps(
     item: str = "item_id",
     text: str = "text",
 ) -> DataFrame:
-    """(key, n_words, n_hit, items): per document row, words inside benchmark windows.
+    """(key, like, n_words, n_hit, items): per document row, words inside benchmark windows.
 
     An item's windows are its runs of ``window`` words; an item with fewer words is one window.
-    ``items`` are the ids of items with a window in the document, ascending as text.
+    ``items`` are the ids of items with a window in the document, ascending as text; ``like`` is
+    the hash of the row's text.
 
     Null and empty texts have no words and no hits. Items without words or id take no part;
     equal texts under several ids all count, and rows that repeat an id count once. Repeated and
@@ -167,6 +168,7 @@ def find_overlaps(
     match = rows["id"].eqNullSafe(hits["id"]) & (rows["like"] == hits["like"])
     return rows.join(hits, match, "left").select(
         rows["id"].alias(key),
+        rows["like"],
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
