@@ -13,7 +13,7 @@ APPOINTMENT = {
     "scheduled_day": "2016-05-01",
     "appointment_day": "2016-05-03",
     "age": 30,
-    "neighbourhood": "CENTRO",
+    "neighbourhood": "NORDHAFEN",
     "scholarship": 0,
     "hipertension": 0,
     "diabetes": 0,
