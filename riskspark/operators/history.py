@@ -63,17 +63,9 @@ def asof_lookup(df: DataFrame, history: DataFrame, roles: Roles = ROLES) -> Data
     return summed.where("rows > 0")
 
 
-def history_of(
-    history: DataFrame, batch: DataFrame, roles: Roles = ROLES, small: int = 100_000
-) -> DataFrame:
-    """The history of a batch's entities, for a small batch against a large history.
-
-    The entities are counted first: a short list is broadcast, so that the history is filtered
-    where it is read; a long one joins by shuffle.
-    """
+def history_of(history: DataFrame, batch: DataFrame, roles: Roles = ROLES) -> DataFrame:
+    """The history of a batch's entities."""
     wanted = batch.select(F.col(roles.entity).alias("entity")).distinct()
-    if wanted.limit(small + 1).count() <= small:
-        wanted = F.broadcast(wanted)
     return history.join(wanted, "entity", "left_semi")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from riskspark.operators.metrics import METRICS, choose_threshold, metrics_by_split
 from riskspark.operators.prep import balanced_weight, feature_names
 from riskspark.operators.scoring import with_score
+from riskspark.session import materialize
 
 
 def fit_logistic(train: DataFrame, label: str = "target", c: float = 1.0, max_iter: int = 1000):
@@ -86,79 +87,87 @@ def run_experiments(
     round reads it again.
     """
     kept = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    train = kept.where(F.col("split") == "train")
-    models, rows = {}, []
-    for experiment in experiments:
-        model = models[experiment.name] = experiment.fit(train)
-        scored = with_score(kept.where(F.col("split") != "train"), model).select(
-            label, "score", "split"
-        )
-        threshold = experiment.threshold
-        if threshold is None:
-            val = scored.where(F.col("split") == "val")
-            threshold = choose_threshold(val, label, "score", min_recall).first()["threshold"]
-        wide = metrics_by_split(scored, label, "score", threshold)
-        names = [f"{part}_{m}" for part in ("val", "test") for m in METRICS]
-        rows.append(wide.select(F.lit(experiment.name).alias("experiment"), *names))
-    all_rows = rows[0]
-    for row in rows[1:]:
-        all_rows = all_rows.unionByName(row)
-    return all_rows.unpivot("experiment", names, "metric", "value"), models
-
-
-def _sample(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
-    """A fixed sample: the rows with the smallest seeded hashes of their key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(rows)
-
-
-def linear_importance(
-    df: DataFrame, model, key: str, rows: int = 1000, seed: int = 42
-) -> DataFrame:
-    """(feature, importance): mean |coefficient * (x - mean)| over a sample, largest first."""
+    try:
+        train = kept.where(F.col("split") == "train")
+        models, rows = {}, []
+        for experiment in experiments:
+            model = models[experiment.name] = experiment.fit(train)
+            scored = with_score(kept.where(F.col("split") != "train"), model).select(
+                label, "score", "split"
+            )
+            threshold = experiment.threshold
+            if threshold is None:
+                val = scored.where(F.col("split") == "val")
+                threshold = choose_threshold(val, label, "score", min_recall).first()["threshold"]
+            wide = metrics_by_split(scored, label, "score", threshold)
+            names = [f"{part}_{m}" for part in ("val", "test") for m in METRICS]
+            rows.append(wide.select(F.lit(experiment.name).alias("experiment"), *names))
+        all_rows = rows[0]
+        for row in rows[1:]:
+            all_rows = all_rows.unionByName(row)
+        # A few metric rows, written while the kept table is there.
+        return materialize(all_rows.unpivot("experiment", names, "metric", "value"), "metrics"), models
+    finally:
+        kept.unpersist()
+
+
+def linear_importance(df: DataFrame, model) -> DataFrame:
+    """(feature, deviation, importance): mean |x - mean| of all rows, times |coefficient|, largest first."""
     names = feature_names(df)
-    cells = _sample(df, key, rows, seed).select(
-        F.posexplode(vector_to_array("features")).alias("i", "x")
-    )
+    cells = df.select(F.posexplode(vector_to_array("features")).alias("i", "x"))
+    means = cells.groupBy("i").agg(F.avg("x").alias("mean"))
     slots = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(float(w)).alias("w"))
                       for n, w in zip(names, model.coefficients.toArray())])
-    mean = F.avg("x").over(Window.partitionBy("i"))
     return (
-        cells.withColumn("d", F.abs(F.col("x") - mean))
+        cells.join(F.broadcast(means), "i")  # one row per slot of the vector
         .groupBy("i")
-        .agg(F.avg("d").alias("d"))
+        .agg(F.avg(F.abs(F.col("x") - F.col("mean"))).alias("deviation"))
         .withColumn("slot", F.get(slots, F.col("i")))
         .select(
             F.col("slot.n").alias("feature"),
-            (F.abs("slot.w") * F.col("d")).alias("importance"),
+            "deviation",
+            (F.abs("slot.w") * F.col("deviation")).alias("importance"),
         )
         .orderBy(F.desc("importance"), "feature")
     )
 
 
-def permutation_importance(
-    df: DataFrame, model, key: str, rows: int = 1000, seed: int = 42
-) -> DataFrame:
-    """(feature, importance): mean change of the score when a feature comes from another row.
+def source_column(slot: str) -> str:
+    """The column that a slot of the vector was made from."""
+    return slot.split("_filled_hot_")[0].removesuffix("_scaled")
+
+
+def permutation_importance(df: DataFrame, model, key: str, seed: int = 42, bucket: int = 1000) -> DataFrame:
+    """(feature, importance): mean change of the score when a column comes from another row.
 
-    One scoring job over sample rows x features; the sample is the only bounded part.
+    All rows take part. A row's donor is the next one by seeded hash among about ``bucket``
+    others; all slots of a source column change together, in one scoring job.
     """
-    names = feature_names(df)
-    sample = _sample(df, key, rows, seed).select(key, vector_to_array("features").alias("x"))
-    # The sample is at most ``rows`` rows, so one ordered window over it is small.
-    order = Window.partitionBy(F.lit(0)).orderBy(key)
+    slots: dict[str, list[int]] = {}
+    for i, name in enumerate(feature_names(df)):
+        slots.setdefault(source_column(name), []).append(i)
+    buckets = max(1, -(-df.count() // bucket))
+    rows = df.select(key, vector_to_array("features").alias("x"))
+    order = Window.partitionBy(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))).orderBy(
+        F.xxhash64(F.col(key), F.lit(seed + 1)), key
+    )
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     other = F.coalesce(F.lead("x").over(order), F.first("x").over(whole))
-    paired = sample.select(key, "x", other.alias("y"))
-    slots = F.sequence(F.lit(-1), F.lit(len(names) - 1))
-    spread = paired.select(key, "x", "y", F.explode(slots).alias("i"))
-    changed = F.zip_with(
-        F.arrays_zip("x", F.sequence(F.lit(0), F.size("x") - 1).alias("p")),
-        F.col("y"),
-        lambda a, b: F.when(a["p"] == F.col("i"), b).otherwise(a["x"]),
+    numbers = F.sequence(F.lit(-1), F.lit(len(slots) - 1))
+    spread = rows.select(key, "x", other.alias("y")).select(key, "x", "y", F.explode(numbers).alias("i"))
+    moved = F.coalesce(
+        F.get(F.array(*[F.array(*[F.lit(j) for j in own]) for own in slots.values()]), F.col("i")),
+        F.array().cast("array<int>"),
+    )
+    changed = F.transform(
+        F.arrays_zip("x", "y"),
+        lambda cell, j: F.when(F.array_contains(F.col("moved"), j), cell["y"]).otherwise(cell["x"]),
+    )
+    scored = with_score(
+        spread.withColumn("moved", moved).select(key, "i", array_to_vector(changed).alias("features")), model
     )
-    scored = with_score(spread.select(key, "i", array_to_vector(changed).alias("features")), model)
     base = scored.where("i < 0").select(key, F.col("score").alias("base"))
-    label = F.get(F.array(*[F.lit(n) for n in names]), F.col("i"))
+    label = F.get(F.array(*[F.lit(n) for n in slots]), F.col("i"))
     return (
         scored.where("i >= 0")
         .join(base, key)

@@ -1,64 +1,86 @@
 """Preparation, fits and scoring.
 
-Labels of the driver's orders do not depend on the features, so models learn from appointments
-generated out of the order keys: one per order, with outcomes that depend on the lead time.
+Models learn the quality label of documents from their language, source and text measures. Every
+query fits what it needs anew, with all trees, and scores every row.
 """
 
-from functools import lru_cache
-
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskspark.operators import models as ML
 from riskspark.operators import prep as P
-from riskspark.operators.clean import split_part, with_target
+from riskspark.operators.clean import split_part
 from riskspark.operators.features import base_features
 from riskspark.operators.gates import gate_size
 from riskspark.operators.scoring import score_batch
 from riskspark.plans.adapter import SPLIT, table
 from riskspark.plans.queries.base import CLEAN, query, r6, rows
-from riskspark.plans.training import prepare, scorer, train_and_evaluate
-from riskspark.schema import Split
-from riskspark.session import shared_dir
-from riskspark.sources.synth import synthetic_appointments
-
-# Most of the generated time goes to training, as in the real table.
-SYNTH_SPLIT = Split("2016-04-15", "2016-05-10")
-TREES, TUNED_TREES = 20, 30
-
-
-def synthetic(spark, sf_dir):
-    """One generated appointment per order; as many patients as a tenth of the customers' range."""
-    return synthetic_appointments(table(spark, sf_dir, "orders"), "o_orderkey", entities=1500)
-
-
-@lru_cache(maxsize=4)
-def _prepared(spark, sf_dir):
-    """Vectors for all generated rows, written once, with the fitted feature objects."""
-    prepared, builder, preprocessor = prepare(synthetic(spark, sf_dir), SYNTH_SPLIT)
-    narrow = prepared.select("appointment_id", "patient_id", "features", "target", "split")
+from riskspark.session import materialize, shared_dir
+
+# Labelled rows that a fit uses, at most about this many, by the hash of their id.
+FIT_ROWS = 20_000
+CATEGORICAL = ["lang", "source"]
+NUMERIC = ["n_chars", "n_words", "n_lines", "upper_share", "digit_share"]
+UPPER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+def measured_documents(spark, sf_dir):
+    """Documents with text measures, the part of their id, and their label where they have one."""
+    text = F.coalesce("text", F.lit(""))
+    size = F.char_length(text)
+
+    def count(chars):
+        return size - F.char_length(F.translate(text, chars, ""))
+
+    measured = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        "source",
+        "n_chars",
+        (count(" ") + 1).alias("n_words"),
+        (count("\n") + 1).alias("n_lines"),
+        (count(UPPER) / F.greatest(size, F.lit(1))).alias("upper_share"),
+        (count(DIGITS) / F.greatest(size, F.lit(1))).alias("digit_share"),
+        F.when(F.col("doc_id") % 10 < 6, "train").when(F.col("doc_id") % 10 < 8, "val").otherwise("test").alias("split"),
+    )
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").cast("int").alias("target"))
+    return measured.join(labels, "doc_id", "left")
+
+
+DOCS = """docs AS (
+  SELECT doc_id, lang, source, n_chars,
+    length(text) - length(replace(text, ' ', '')) + 1 AS n_words,
+    length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines,
+    (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) / CAST(greatest(length(text), 1) AS DOUBLE) AS upper_share,
+    (length(text) - length(regexp_replace(text, '[0-9]', '', 'g'))) / CAST(greatest(length(text), 1) AS DOUBLE) AS digit_share,
+    CASE WHEN doc_id % 10 < 6 THEN 'train' WHEN doc_id % 10 < 8 THEN 'val' ELSE 'test' END AS split, quality AS target
+  FROM documents LEFT JOIN labels USING (doc_id)),
+fitted AS (SELECT * FROM docs WHERE split = 'train' AND target IS NOT NULL),
+stats AS (SELECT """ + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in NUMERIC
+) + " FROM fitted)"
+
+
+def for_fitting(train):
+    """The labelled rows of a part, sampled by key beyond FIT_ROWS."""
+    known = train.where(F.col("target").isNotNull())
+    n = known.count()
+    return known if n <= FIT_ROWS else known.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < FIT_ROWS)
+
+
+def prepared_documents(spark, sf_dir):
+    """Vectors of all documents, written once, and the preparation that gave them."""
+    measured = materialize(measured_documents(spark, sf_dir), "measured")
+    preparation = P.fit_preprocessor(for_fitting(split_of(measured, "train")), CATEGORICAL, NUMERIC)
+    vectors = preparation.transform(measured).select("doc_id", "features", "target", "split")
     path = shared_dir(spark, "prepared")
-    narrow.write.parquet(path)
-    return spark.read.parquet(path), builder, preprocessor
-
+    vectors.write.parquet(path)
+    return spark.read.parquet(path), preparation
 
-@lru_cache(maxsize=4)
-def _logistic(spark, sf_dir):
-    prepared, builder, preprocessor = _prepared(spark, sf_dir)
-    return ML.fit_logistic(prepared.where("split = 'train'"))
 
-
-@lru_cache(maxsize=4)
-def _boosted(spark, sf_dir):
-    prepared, _, _ = _prepared(spark, sf_dir)
-    return ML.fit_boosted(prepared.where("split = 'train'"), trees=TREES)
-
-
-@lru_cache(maxsize=4)
-def fitted_scorer(spark, sf_dir):
-    """Features, preparation and logistic model as one object."""
-    _, builder, preprocessor = _prepared(spark, sf_dir)
-    return scorer(builder, preprocessor, _logistic(spark, sf_dir), 0.5, "1")
+def split_of(df, part):
+    return df.where(F.col("split") == part)
 
 
 def _holes(df):
@@ -147,91 +169,142 @@ def balanced_weights(spark, sf_dir):
     return r6(by_class, "weight")
 
 
-@query("synthetic_appointments")
-def generated(spark, sf_dir):
-    return synthetic(spark, sf_dir)
+@query(
+    "assembled_vectors",
+    f"""WITH {DOCS},
+    langs AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS lang_slot FROM (SELECT DISTINCT lang FROM fitted)),
+    sources AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS source_slot FROM (SELECT DISTINCT source FROM fitted))
+    SELECT doc_id, CAST(lang_slot AS INTEGER) AS lang_slot, CAST(source_slot AS INTEGER) AS source_slot,
+      {", ".join(f"round((({c}) - m_{c}) / d_{c}, 6) AS {c}" for c in NUMERIC)}
+    FROM docs CROSS JOIN stats LEFT JOIN langs USING (lang) LEFT JOIN sources USING (source)""",
+)
+def assembled_vectors(spark, sf_dir):
+    """Every document's vector, read back slot by slot."""
+    vectors, _ = prepared_documents(spark, sf_dir)
+    names, x = P.feature_names(vectors), vector_to_array("features")
+    columns = [F.col("doc_id")]
+    for c in CATEGORICAL:
+        block = [i for i, n in enumerate(names) if n.startswith(f"{c}_filled_hot_")]
+        place = F.array_position(F.slice(x, block[0] + 1, len(block)), 1.0)
+        columns.append(F.when(place > 0, place - 1).cast("int").alias(f"{c}_slot"))
+    columns += [F.round(x[names.index(f"{c}_scaled")], 6).alias(c) for c in NUMERIC]
+    return vectors.select(columns)
 
 
-@query("assembled_vectors")
-def assembled_vectors(spark, sf_dir):
-    prepared, _, _ = _prepared(spark, sf_dir)
-    return prepared.select("appointment_id", vector_to_array("features").alias("features"))
+def scores(vectors, model, version):
+    """Prediction rows of all documents."""
+    return score_batch(vectors, model, 0.5, version, entity="doc_id", keep=("doc_id",))
 
 
 @query("logistic_coefficients")
 def logistic_coefficients(spark, sf_dir):
-    prepared, _, _ = _prepared(spark, sf_dir)
-    model = _logistic(spark, sf_dir)
+    vectors, _ = prepared_documents(spark, sf_dir)
+    model = ML.fit_logistic(for_fitting(split_of(vectors, "train")))
     pairs = [
         F.struct(F.lit(name).alias("feature"), F.lit(float(weight)).alias("coefficient"))
-        for name, weight in zip(P.feature_names(prepared), model.coefficients.toArray())
+        for name, weight in zip(P.feature_names(vectors), model.coefficients.toArray())
     ]
     return spark.range(1).select(F.inline(F.array(*pairs)))
 
 
 @query("logistic_scores")
 def logistic_scores(spark, sf_dir):
-    """Prediction rows of the test part."""
-    prepared, _, _ = _prepared(spark, sf_dir)
-    test = prepared.where("split = 'test'")
-    return score_batch(test, _logistic(spark, sf_dir), 0.5, "1", keep=("appointment_id",))
+    vectors, _ = prepared_documents(spark, sf_dir)
+    return scores(vectors, ML.fit_logistic(for_fitting(split_of(vectors, "train"))), "1")
+
+
+@query(
+    "logistic_score_rows",
+    "SELECT doc_id, CAST(0.5 AS DOUBLE) AS threshold, '1' AS model_version, TRUE AS in_range, TRUE AS alert_agrees FROM documents",
+)
+def logistic_score_rows(spark, sf_dir):
+    """What is exact about scores: one per document, between 0 and 1, with the alert it asks for."""
+    found = logistic_scores(spark, sf_dir)
+    far = F.abs(F.col("score") - F.col("threshold")) > 1e-6  # alerts look at the unrounded score
+    agrees = ~far | (F.col("alert") == (F.col("score") >= F.col("threshold")))
+    return found.select(
+        "doc_id", "threshold", "model_version", F.col("score").between(0, 1).alias("in_range"), agrees.alias("alert_agrees")
+    )
 
 
 @query("boosted_scores")
 def boosted_scores(spark, sf_dir):
-    prepared, _, _ = _prepared(spark, sf_dir)
-    test = prepared.where("split = 'test'")
-    return score_batch(test, _boosted(spark, sf_dir), 0.5, "2", keep=("appointment_id",))
+    vectors, _ = prepared_documents(spark, sf_dir)
+    return scores(vectors, ML.fit_boosted(for_fitting(split_of(vectors, "train"))), "2")
 
 
 @query("boosted_tuned_scores")
 def boosted_tuned_scores(spark, sf_dir):
-    prepared, _, _ = _prepared(spark, sf_dir)
-    model = ML.fit_boosted_tuned(prepared.where("split = 'train'"), trees=TUNED_TREES)
-    test = prepared.where("split = 'test'")
-    return score_batch(test, model, 0.5, "3", keep=("appointment_id",))
+    vectors, _ = prepared_documents(spark, sf_dir)
+    return scores(vectors, ML.fit_boosted_tuned(for_fitting(split_of(vectors, "train"))), "3")
 
 
 @query("experiment_metrics")
 def experiment_metrics(spark, sf_dir):
-    """Fit, score and evaluate each experiment, a threshold chosen for one of them."""
-    metrics, _, _, _ = train_and_evaluate(
-        synthetic(spark, sf_dir),
-        SYNTH_SPLIT,
-        [
-            ML.Experiment("logistic_balanced", ML.fit_logistic),
-            ML.Experiment("boosted_balanced", lambda df: ML.fit_boosted(df, trees=5), None),
-        ],
-    )
+    """All three experiments, fitted, scored and evaluated on labelled documents."""
+    vectors, _ = prepared_documents(spark, sf_dir)
+    train = for_fitting(split_of(vectors, "train"))
+    rest = vectors.where((F.col("split") != "train") & F.col("target").isNotNull())
+    metrics, _ = ML.run_experiments(train.unionByName(rest), ML.default_experiments())
     return metrics
 
 
-@query("logistic_importance")
+@query(
+    "logistic_importance",
+    f"""WITH {DOCS}, v AS (SELECT * FROM docs CROSS JOIN stats WHERE split = 'val' AND target IS NOT NULL),
+    hot AS (
+      SELECT 'lang_filled_hot_' || lang AS feature, count(*) FILTER (WHERE v.lang = f.lang) / CAST(count(*) AS DOUBLE) AS p
+      FROM (SELECT DISTINCT lang FROM fitted) f CROSS JOIN v GROUP BY f.lang
+      UNION ALL
+      SELECT 'source_filled_hot_' || f.source, count(*) FILTER (WHERE v.source = f.source) / CAST(count(*) AS DOUBLE)
+      FROM (SELECT DISTINCT source FROM fitted) f CROSS JOIN v GROUP BY f.source)
+    SELECT feature, round(2 * p * (1 - p), 6) AS deviation, TRUE AS agrees FROM hot
+    {" ".join(f"UNION ALL SELECT '{c}_scaled', round(avg(abs({c} - (SELECT avg({c}) FROM v)) / d_{c}), 6), TRUE FROM v" for c in NUMERIC)}""".replace(
+        "'lang_filled_hot_' || lang AS", "'lang_filled_hot_' || f.lang AS"
+    ),
+)
 def logistic_importance(spark, sf_dir):
-    prepared, _, _ = _prepared(spark, sf_dir)
-    val = prepared.where("split = 'val'")
-    return ML.linear_importance(val, _logistic(spark, sf_dir), "appointment_id")
+    """Mean deviation of every slot over all labelled validation rows, and whether the importance is
+    that times the fitted coefficient."""
+    vectors, _ = prepared_documents(spark, sf_dir)
+    model = ML.fit_logistic(for_fitting(split_of(vectors, "train")))
+    val = split_of(vectors, "val").where(F.col("target").isNotNull())
+    weights = dict(zip(P.feature_names(vectors), model.coefficients.toArray()))
+    size = F.create_map(*[F.lit(v) for n, w in weights.items() for v in (n, abs(float(w)))])
+    found = ML.linear_importance(val, model)
+    agrees = F.abs(F.col("importance") - size[F.col("feature")] * F.col("deviation")) < 1e-9
+    return r6(found.select("feature", "deviation", agrees.alias("agrees")), "deviation")
 
 
 @query("boosted_importance")
 def boosted_importance(spark, sf_dir):
-    prepared, _, _ = _prepared(spark, sf_dir)
-    val = prepared.where("split = 'val'")
-    return ML.permutation_importance(val, _boosted(spark, sf_dir), "appointment_id")
+    vectors, _ = prepared_documents(spark, sf_dir)
+    model = ML.fit_boosted(for_fitting(split_of(vectors, "train")))
+    val = split_of(vectors, "val").where(F.col("target").isNotNull())
+    return ML.permutation_importance(val, model, "doc_id")
+
 
+def fitted_pipeline(spark, sf_dir):
+    """Measured documents, and preparation and logistic model as one pipeline."""
+    measured = materialize(measured_documents(spark, sf_dir), "measured")
+    train = for_fitting(split_of(measured, "train"))
+    preparation = P.fit_preprocessor(train, CATEGORICAL, NUMERIC)
+    model = ML.fit_logistic(preparation.transform(train))
+    return measured, PipelineModel([*preparation.stages, model])
 
-@query("reloaded_model_scores")
+
+@query(
+    "reloaded_model_scores",
+    "SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS max_difference FROM documents",
+)
 def reloaded_model_scores(spark, sf_dir):
-    """Largest score difference of a saved and reloaded model: 0."""
-    whole = fitted_scorer(spark, sf_dir)
-    featured = whole.features.transform(with_target(synthetic(spark, sf_dir)))
-    return ML.save_load_check(whole.model, featured, shared_dir(spark, "model"))
+    """Largest score difference of a saved and reloaded model, over all documents."""
+    measured, model = fitted_pipeline(spark, sf_dir)
+    return ML.save_load_check(model, measured, shared_dir(spark, "model"))
 
 
 @query("gate_on_model_size")
 def gate_on_model_size(spark, sf_dir):
     path = shared_dir(spark, "sized-model")
-    fitted_scorer(spark, sf_dir).model.write().save(path)
+    fitted_pipeline(spark, sf_dir)[1].write().save(path)
     return gate_size(ML.artifact_size_mb(spark, path))
-
-

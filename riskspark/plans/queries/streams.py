@@ -4,14 +4,14 @@ read as a stream until its end, and the written results are read back."""
 from pyspark.sql import functions as F
 
 from riskspark.functions import normalize_label
-from riskspark.plans.adapter import requests
+from riskspark.operators.models import fit_logistic
+from riskspark.plans.adapter import SPLIT, appointments, requests
 from riskspark.plans.queries.base import REQ, query, r6, stamp
 from riskspark.plans.queries.drifting import FEEDBACK_ROWS, prediction_and_outcome_logs
-from riskspark.plans.queries.modelling import _boosted, _prepared, fitted_scorer
 from riskspark.plans.queries.sourcing import HOURS
 from riskspark.plans.queries.validating import REQUESTS, request_rows
-from riskspark.plans.training import Scorer, scorer
-from riskspark.session import configure, shared_dir
+from riskspark.plans.training import Scorer, prepare, scorer
+from riskspark.session import configure, materialize, shared_dir
 from riskspark.sources.readers import read_request_stream
 from riskspark.streaming.feedback import feedback_stream
 from riskspark.streaming.scoring import Champion, score_stream, score_table
@@ -104,17 +104,19 @@ def streamed_feedback(spark, sf_dir):
 
 
 def _champion(spark, sf_dir, log_path):
-    """Scorers 1 and 2 saved, alias log pointing at 1."""
-    prepared, builder, preprocessor = _prepared(spark, sf_dir)
+    """Two fitted scorers saved as versions 1 and 2, the alias log pointing at 1; the first scorer too."""
+    prepared, builder, preprocessor = prepare(appointments(spark, sf_dir), SPLIT)
+    train = materialize(prepared.where("split = 'train'").select("features", "target"), "train")
     base = shared_dir(spark, "versions")
-    fitted_scorer(spark, sf_dir).save(f"{base}/1")
-    scorer(builder, preprocessor, _boosted(spark, sf_dir), 0.5, "2").save(f"{base}/2")
+    first = scorer(builder, preprocessor, fit_logistic(train), 0.5, "1")
+    first.save(f"{base}/1")
+    scorer(builder, preprocessor, fit_logistic(train, c=0.01), 0.5, "2").save(f"{base}/2")
     move_alias(spark, log_path, "1", "2024-01-01")
 
     def load(version, threshold):
         return Scorer.load(spark, f"{base}/{version}", threshold, version)
 
-    return Champion(lambda: spark.read.parquet(log_path), load, "risk")
+    return Champion(lambda: spark.read.parquet(log_path), load, "risk"), first
 
 
 def move_alias(spark, log_path, version, at):
@@ -152,12 +154,12 @@ def streamed_scores_equal_batch(spark, sf_dir):
     """Requests scored as a stream and as a table: counts and differing predictions."""
     source = request_rows(configure(spark), sf_dir)
     paths = _scoring_paths(spark)
-    champion = _champion(spark, sf_dir, shared_dir(spark, "alias-log"))
+    champion, first = _champion(spark, sf_dir, shared_dir(spark, "alias-log"))
     source.write.parquet(paths[3])
     _run_scoring(spark, source, champion, paths)
     streamed = spark.read.parquet(paths[0]).drop("batch")
     refused = spark.read.parquet(paths[1]).agg(F.count(F.lit(1))).scalar()
-    batch, _ = score_table(source, fitted_scorer(spark, sf_dir))
+    batch, _ = score_table(source, first)
     names = ["patient_id", "score", "alert", "threshold", "model_version"]
     left = streamed.select("request_id", F.struct(*names).alias("s"))
     right = batch.select("request_id", F.struct(*names).alias("b"))
@@ -180,7 +182,7 @@ def scores_by_version(spark, sf_dir):
     source = request_rows(configure(spark), sf_dir)
     paths = _scoring_paths(spark)
     log_path = shared_dir(spark, "alias-log")
-    champion = _champion(spark, sf_dir, log_path)
+    champion, _ = _champion(spark, sf_dir, log_path)
     early = F.col("appointment_day") < "1998-05-01"
     source.where(early).write.parquet(paths[3])
     _run_scoring(spark, source, champion, paths)

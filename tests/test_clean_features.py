@@ -136,11 +136,10 @@ def test_history_equals_brute_force_with_a_hot_patient(spark):
         wanted = (float(len(past)), sum(past) / len(past) if past else 0.0)
         assert found[i] == pytest.approx(wanted)
     batch = df.where("appointment_id % 50 = 0")
-    for small in (0, 1000):
-        pruned = asof_history(batch, history_of(history, batch, small=small))
-        assert {r["appointment_id"]: tuple(r[c] for c in FACTS) for r in pruned.collect()} == {
-            k: v for k, v in found.items() if k % 50 == 0
-        }
+    pruned = asof_history(batch, history_of(history, batch))
+    assert {r["appointment_id"]: tuple(r[c] for c in FACTS) for r in pruned.collect()} == {
+        k: v for k, v in found.items() if k % 50 == 0
+    }
 
 
 def test_builder_round_trip_and_parity(spark, appointments, tmp_path):

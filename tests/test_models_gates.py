@@ -92,10 +92,11 @@ def test_logistic_learns(fitted):
 def test_importance_puts_lead_time_first(fitted):
     _, rows, _, _, model = fitted
     val = rows.where("split = 'val'")
-    linear = ML.linear_importance(val, model, "appointment_id").collect()
+    linear = ML.linear_importance(val, model).collect()
     assert linear[0]["feature"] == "lead_time_days_scaled" and len(linear) == len(P.feature_names(rows))
-    permuted = ML.permutation_importance(val, model, "appointment_id", rows=100).collect()
-    assert permuted[0]["feature"] == "lead_time_days_scaled"
+    permuted = ML.permutation_importance(val, model, "appointment_id", bucket=100).collect()
+    assert permuted[0]["feature"] == "lead_time_days"
+    assert {r["feature"] for r in permuted} == {ML.source_column(n) for n in P.feature_names(rows)}
 
 
 def test_boosted_learns_and_predictions_have_their_columns(fitted):
