@@ -75,7 +75,10 @@ def monitoring_report(
     policy: Policy = Policy(),
     generated_at: str | None = None,
 ) -> DataFrame:
-    """One nested row; every part is a scalar subquery over its own aggregate."""
+    """One nested row; every part is a scalar subquery over its own aggregate.
+
+    A side of fewer than two rows is an error when the report is read.
+    """
     ref, cur = monitoring_features(reference), monitoring_features(current)
     common = [c for c in ref.columns if c in cur.columns]
     drift = drift_summary(feature_psi(ref.select(common), cur.select(common)), policy)
@@ -129,8 +132,8 @@ def monitoring_report(
     decided = action_columns(concept, F.col("d.alert"), moved["alert"], state)
     return row.select(
         stamp.alias("generated_at"),
-        F.col("r.n").alias("reference_rows"),
-        F.col("c.n").alias("current_rows"),
+        two_or_more(F.col("r.n"), "reference").alias("reference_rows"),
+        two_or_more(F.col("c.n"), "current").alias("current_rows"),
         F.array(*[F.lit(c) for c in common]).alias("features_checked"),
         F.col("d.by_feature").alias("feature_psi"),
         F.col("d.drifted").alias("drifted_features"),
@@ -149,7 +152,6 @@ def monitoring_report(
     )
 
 
-def require_two_rows(df: DataFrame, name: str) -> DataFrame:
-    if len(df.take(2)) < 2:
-        raise ValueError(f"{name} needs at least two rows")
-    return df
+def two_or_more(rows: Column, name: str) -> Column:
+    """The row count, or an error where it is too small for a comparison."""
+    return F.when(rows >= 2, rows).otherwise(F.raise_error(F.lit(f"{name} needs at least two rows")))

@@ -63,10 +63,15 @@ stats AS (SELECT """ + ", ".join(
 
 
 def for_fitting(train):
-    """The labelled rows of a part, sampled by key beyond FIT_ROWS."""
+    """The labelled rows of a part, sampled by key beyond FIT_ROWS.
+
+    A task for every 5000 of them: each level of each tree is a job over these few rows.
+    """
     known = train.where(F.col("target").isNotNull())
     n = known.count()
-    return known if n <= FIT_ROWS else known.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < FIT_ROWS)
+    if n > FIT_ROWS:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < FIT_ROWS)
+    return known.coalesce(1 + min(n, FIT_ROWS) // 5000)
 
 
 def prepared_documents(spark, sf_dir):

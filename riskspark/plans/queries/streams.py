@@ -89,7 +89,7 @@ def streamed_service_windows(spark, sf_dir):
 
 @query("streamed_feedback", f"WITH {FEEDBACK_ROWS}")
 def streamed_feedback(spark, sf_dir):
-    """Prediction log and outcomes as two streams, joined within 90 days."""
+    """Prediction log and outcomes as two streams, every outcome matched."""
     predictions, outcomes = prediction_and_outcome_logs(spark, sf_dir)
     joined = feedback_stream(
         landed(predictions, "predictions"),

@@ -12,20 +12,22 @@ def feedback_stream(
     key: str,
     predicted_at: str,
     outcome_at: str,
-    max_lag: str = "90 days",
+    max_lag: str | None = None,
     late: str = "1 day",
 ) -> DataFrame:
-    """Predictions with the outcome that became known at most ``max_lag`` after them.
+    """Predictions with the outcome that became known after them, like the batch form.
 
-    The lag bound and the watermarks let Spark drop rows that can no longer match.
+    Without ``max_lag`` every outcome is matched, however late, and Spark keeps all rows as
+    state. With it outcomes count up to that lag only, and the bound and the watermarks of
+    ``late`` let Spark drop rows that can no longer match.
     """
-    p = predictions.withWatermark(predicted_at, late).alias("p")
-    o = outcomes.withWatermark(outcome_at, late).alias("o")
+    if max_lag is not None:
+        predictions = predictions.withWatermark(predicted_at, late)
+        outcomes = outcomes.withWatermark(outcome_at, late)
+    p, o = predictions.alias("p"), outcomes.alias("o")
     begin, end = F.col(f"p.{predicted_at}"), F.col(f"o.{outcome_at}")
-    match = (
-        (F.col(f"p.{key}") == F.col(f"o.{key}"))
-        & (end >= begin)
-        & (end <= begin + F.expr(f"INTERVAL {max_lag}"))
-    )
+    match = (F.col(f"p.{key}") == F.col(f"o.{key}")) & (end >= begin)
+    if max_lag is not None:
+        match = match & (end <= begin + F.expr(f"INTERVAL {max_lag}"))
     extra = [c for c in outcomes.columns if c not in predictions.columns]
     return p.join(o, match).select("p.*", *[F.col(f"o.{c}") for c in extra])
