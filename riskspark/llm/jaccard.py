@@ -8,8 +8,9 @@ many + 1 rarest ones: it is copied to their regions, and every linked pair meets
 Regions with the same smallest document are one region.
 
 Fixed pivots, the classes of n-grams by hash, then thin the regions: documents whose counts in
-the classes differ by more than a link allows cannot link, so a document that no other one of its
-region is near to by all counts leaves it before any set is moved.
+the classes differ by more than a link allows cannot link. What stays near by all counts in a region
+of n-grams is joined into one new region, before any set is moved: a document then lies in one
+region only, with all that it may link with, or in none.
 
 Inside a region documents are pivots. With all distances to a few pivots known, two documents
 can only be linked if their distances to every pivot differ by no more than the join distance.
@@ -29,7 +30,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import lower_ascii, mix, prefix_hash, span_hash, text_slices, word_spans, written
+from riskspark.llm.common import (
+    lower_ascii,
+    mix,
+    prefix_hash,
+    sent_if_few,
+    span_hash,
+    text_slices,
+    word_spans,
+    written,
+)
 from riskspark.llm.graph import components
 
 _IS_WORD = np.ones(256, bool)
@@ -47,8 +57,6 @@ PIVOTS = 8
 # Hash classes whose n-gram counts are compared before sets are.
 CLASSES = 64
 _EDGES = (np.arange(1, CLASSES, dtype=np.uint64) << np.uint64(58)).astype(np.uint64)
-# Documents up to this many are sent to every task instead of shuffling the texts to them.
-BROADCAST_ROWS = 1_000_000
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -145,14 +153,18 @@ def _windows(docs: DataFrame, size: int, percent: int, sketch) -> DataFrame:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    kind = docs.schema["id"].dataType.simpleString()
+    """All columns but the text, and the set as 64-bit hashes."""
+    kept = [c for c in docs.columns if c != "text"]
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in kept) + ", grams binary"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offsets in text_slices(batches):
             sets = [s.tobytes() for s in shingles(raw, offsets, size)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.binary())], names=["id", "grams"])
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns[: len(kept)], pa.array(sets, pa.binary())], names=[*kept, "grams"]
+            )
 
-    return docs.mapInArrow(apply, f"id {kind}, grams binary")
+    return docs.select(*kept, "text").mapInArrow(apply, schema)
 
 
 def links_of_region(sets: list[np.ndarray], percent: int, own: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -215,61 +227,60 @@ def links_of_region(sets: list[np.ndarray], percent: int, own: np.ndarray | None
     return links
 
 
-def within_counts(counts: np.ndarray, percent: int, sides: np.ndarray | None = None) -> np.ndarray:
-    """Which rows of class counts have another row that a link's difference would allow.
+def near_by_counts(counts: np.ndarray, percent: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of rows whose class counts a link's difference would allow.
 
     A link leaves at most (n + m)(1 - t) / (1 + t) n-grams that only one of both holds, and counts
     cannot differ by more than that in all.
     """
     total = counts.sum(axis=1)
-    keep = np.zeros(len(counts), bool)
-    for x in range(len(counts)):
-        apart = np.abs(counts - counts[x]).sum(axis=1)
-        near = apart * (100 + percent) <= (total + total[x]) * (100 - percent)
+    comp = np.arange(len(counts))
+    forest: list[tuple[int, int]] = []
+    for x in range(len(counts) - 1):
+        later = np.arange(x + 1, len(counts))[comp[x + 1 :] != comp[x]]
         if sides is not None:
-            near &= sides != sides[x]
-        near[x] = False
-        if near.any():
-            keep[x] = True
-            keep |= near
-    return keep
+            later = later[sides[later] != sides[x]]
+        apart = np.abs(counts[later] - counts[x]).sum(axis=1)
+        for y in later[apart * (100 + percent) <= (total[later] + total[x]) * (100 - percent)]:
+            if comp[y] != comp[x]:
+                forest.append((x, int(y)))
+                comp[comp == comp[y]] = comp[x]
+    return forest
 
 
-def _thinned(members: DataFrame, percent: int) -> DataFrame:
-    """Rows of (region, side, id, counts) that may link with another one of their region."""
+def _candidates(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that span all documents of (region, side, id, counts) that may link."""
     kind = members.schema["id"].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-
-        def close(region: list) -> None:
-            if len(region) > 1:
-                # Counts were cut at the largest number that fits; sums of them only shrink by it.
-                counts = np.frombuffer(b"".join(r[3] for r in region), np.uint16).reshape(-1, CLASSES).astype(np.int32)
-                sides = np.array([r[1] for r in region])
-                if (counts == 65_535).any():
-                    out.extend(r[:3] for r in region)
-                    return
-                keep = within_counts(counts, percent, None if (sides < 0).all() else sides)
-                out.extend(r[:3] for r, k in zip(region, keep.tolist(), strict=True) if k)
-
-        now, region, id_type = None, [], None
+        def close(region: list) -> list[tuple]:
+            if len(region) < 2:
+                return []
+            counts = np.frombuffer(b"".join(r[3] for r in region), np.uint16).reshape(-1, CLASSES).astype(np.int32)
+            sides = np.array([r[1] for r in region])
+            if (counts == 65_535).any():  # a count was cut, so counts exclude nothing
+                found = [(0, i) for i in range(1, len(region))]
+            else:
+                found = near_by_counts(counts, percent, None if (sides < 0).all() else sides)
+            return [(region[a][2], region[b][2]) for a, b in found]
+
+        now, region, out, id_type = None, [], [], None
         for batch in batches:
             id_type = batch.column(2).type
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[0] != now:
-                    close(region)
+                    out += close(region)
                     now, region = row[0], []
                 region.append(row)
             if len(out) > 10_000:
-                yield _columns(out, [pa.int64(), pa.int32(), id_type], ["region", "side", "id"])
-                out.clear()
-        close(region)
+                yield _columns(out, [id_type, id_type], ["a", "b"])
+                out = []
+        out += close(region)
         if out:
-            yield _columns(out, [pa.int64(), pa.int32(), id_type], ["region", "side", "id"])
+            yield _columns(out, [id_type, id_type], ["a", "b"])
 
     sorted_rows = members.select("region", "side", "id", "counts").repartition("region").sortWithinPartitions("region")
-    return sorted_rows.mapInArrow(apply, f"region long, side int, id {kind}")
+    return sorted_rows.mapInArrow(apply, f"a {kind}, b {kind}")
 
 
 def _columns(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
@@ -448,16 +459,21 @@ def near_duplicates(
     )
     regions = written(regions, "jaccard-regions")
 
+    def labelled(ids: DataFrame) -> DataFrame:
+        """Sets of the given documents, with the columns of ``ids``; each text is read once."""
+        wanted = written(ids, "jaccard-wanted")
+        return _sets(rows.join(sent_if_few(wanted), "id"), size)
+
     def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = written(ids.distinct(), "jaccard-wanted")
-        small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        texts = rows.join(F.broadcast(wanted) if small else wanted, "id", "left_semi")
-        return written(_sets(texts, size), "jaccard-sets")
+        return written(labelled(ids.distinct()), "jaccard-sets")
 
     parts, links = _cut_large(regions, sets_of, percent, region)
     counted = windows.join(ones, "id", "left_semi").select("id", "counts")
-    parts = written(_thinned(parts.join(counted, "id"), percent).distinct(), "jaccard-thinned")
-    links.append(_links(parts.join(sets_of(parts.select("id")), "id"), percent))
+    near = components(_candidates(parts.join(counted, "id"), percent))
+    whole = near.select(F.xxhash64("component").alias("region"), F.col("node").alias("id"))
+    cut, more = _cut_large(written(whole, "jaccard-near"), sets_of, percent, region)
+    links += more
+    links.append(_links(labelled(cut), percent))
     reached = components(_all(links))
     return _label(sized, classes, reached, key)
 
