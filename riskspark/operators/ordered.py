@@ -1,9 +1,10 @@
 """Exact running totals and quantiles without a single-task sort.
 
-Input is first reduced to one row per distinct value. Those rows are cut into contiguous
-ranges of about equal size, summed inside each range, and shifted by the totals of the
-ranges before. The cut points come from the rows with the smallest hashes, so they depend
-on the data alone: a recomputed task, or a second evaluation, cuts in the same places.
+Input is first reduced to one row per distinct value. Those rows are written once, cut into
+contiguous ranges of about equal size, summed inside each range, and shifted by the totals of
+the ranges before. There are more ranges than shuffle partitions, however many those are. The cut
+points come from rows whose hash lies under a threshold, so they depend on the data alone: a
+recomputed task, or a second evaluation, cuts in the same places.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+from riskspark.session import materialize
+
+RANGES_PER_PARTITION = 4
 SAMPLE_PER_RANGE = 8
 
 
@@ -26,10 +29,10 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def _cut_points(points: DataFrame, key: Column, ranges: int) -> Column:
-    """Sorted array of at most ``ranges - 1`` keys, as a scalar subquery."""
-    size = ranges * SAMPLE_PER_RANGE
+    """Sorted array of about ``ranges`` keys, as a scalar subquery over a sample of that size."""
+    size, rows = ranges * SAMPLE_PER_RANGE, max(1, points.count())
     keys = points.select(key.alias("k"))
-    sample = keys.orderBy(F.xxhash64("k"), "k").limit(size)
+    sample = keys if rows <= size else keys.where(F.pmod(F.xxhash64("k"), F.lit(rows)) < size)
     picked = sample.agg(F.sort_array(F.collect_list("k")).alias("ks")).select(
         F.filter("ks", lambda _, i: i % SAMPLE_PER_RANGE == SAMPLE_PER_RANGE - 1)
     )
@@ -44,7 +47,7 @@ def _with_range(points: DataFrame, key: Column, ranges: int) -> DataFrame:
     """
     columns = points.columns
     width = 1
-    while 2 * width < ranges:
+    while width < ranges:  # room for twice the ranges, as the sample's size varies
         width *= 2
     steps, low = [], "0"
     while width:
@@ -63,15 +66,18 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     with_next: bool = False,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``run_<c>`` (inclusive running total) and ``all_<c>`` (group total) per column.
 
     ``points`` must hold one row per (``by``, ``order``). A group of any size spreads over as
-    many ranges as its share of the rows; no group is handled by one task. ``with_next`` also
-    adds ``next_<order>``, the value of the following point in the group.
+    many ranges as its share of the rows; no group is handled by one task. The points are written
+    to the shared folder, so what they come from is evaluated once. ``with_next`` also adds ``next_<order>``, the value of the following point in the group.
     """
     by = list(by)
+    points = materialize(points, "points")
+    if ranges is None:
+        ranges = RANGES_PER_PARTITION * int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*by, order) if by else F.col(order)
     located = _with_range(points, key, ranges)
 
@@ -169,7 +175,7 @@ def quantiles_of_counts(
     by: Sequence[str] = (),
     count: str = "n",
     method: str = "linear",
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group from (group, value, count) rows."""
     totals = running_totals(counts.select(*by, value, count), value, [count], by, ranges=ranges)
@@ -184,7 +190,7 @@ def exact_quantiles(
     probs: dict[str, float],
     by: Sequence[str] = (),
     method: str = "linear",
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group; ``probs`` maps output column to probability."""
     counts = value_counts(df, value, by)

@@ -21,7 +21,7 @@ def scored(spark):
     return df, rows
 
 
-@pytest.mark.parametrize("ranges", [2, 16, 256])
+@pytest.mark.parametrize("ranges", [2, 16, 1000, None])
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals_equal_sorted_loop(scored, ranges, descending):
     df, rows = scored
