@@ -36,12 +36,13 @@ def lookup_join(
         .where(F.col("_w") * HOT_SHARE >= F.col("_t"))
         .select(*keys, F.ceil(F.col("_w") * FAN_OUT / F.col("_t")).cast("int").alias("_salts"))
     )
-    spread = F.pmod(F.spark_partition_id(), F.lit(FAN_OUT))
+    hashed = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), F.lit(FAN_OUT))
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    # The reducer choice follows the map task, so identical rows spread as well and a task
-    # that runs again makes the same choice.
+    # The reducer choice follows the map task and the whole row: rows of one task spread, identical
+    # rows of several tasks too, and a task that runs again makes the same choice.
     left = (
         rows.withColumn("_spread", spread)
         .join(F.broadcast(hot), keys, "left")

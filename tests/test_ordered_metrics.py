@@ -147,3 +147,19 @@ def test_lookup_join_equals_plain_join(spark):
         assert found.exceptAll(plain).count() == 0
     salted = lookup_join(rows.select("k", "id"), lookup, ["k"], "w", "inner")
     assert salted.where("k = 7").count() == rows.where("k = 7").count()
+
+
+def test_hot_key_of_a_single_map_task_is_spread(spark):
+    rows = spark.range(0, 20_000, 1, 1).withColumn("k", F.lit(1))
+    lookup = spark.createDataFrame([(1, "x", 20_000)], "k int, v string, w long")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup_join(rows, lookup, ["k"], "w")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20_000 and len(sizes) == 8 and max(sizes) <= 2 * 20_000 / 8
