@@ -54,9 +54,9 @@ CHUNK = 1 << 12
 REGION = 3_000
 ROUNDS = 4
 PIVOTS = 8
-# Hash classes whose n-gram counts are compared before sets are.
-CLASSES = 64
-_EDGES = (np.arange(1, CLASSES, dtype=np.uint64) << np.uint64(58)).astype(np.uint64)
+# Hash classes whose n-gram counts are compared before sets are: more of them for larger sets, as
+# counts of unrelated sets differ by about the root of both numbers. (set size from, classes)
+CLASSES = ((0, 64), (800, 1024), (12_000, 8192))
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -138,8 +138,7 @@ def _windows(docs: DataFrame, size: int, percent: int, sketch) -> DataFrame:
         for rows, raw, offsets in text_slices(batches):
             found, counted = [], []
             for s in shingles(raw, offsets, size):
-                cuts = np.searchsorted(s, _EDGES)
-                counted.append(np.minimum(np.diff(cuts, prepend=0, append=len(s)), 65_535).astype(np.uint16).tobytes())
+                counted.append(class_counts(s).tobytes())
                 keep = len(s) - needed(len(s), percent) + 1 if len(s) else 0
                 rare = np.lexsort((s, counts[(s & np.uint64(SKETCH - 1)).astype(np.int64)]))[:keep]
                 found.append(s[rare].view(np.int64))
@@ -227,21 +226,46 @@ def links_of_region(sets: list[np.ndarray], percent: int, own: np.ndarray | None
     return links
 
 
-def near_by_counts(counts: np.ndarray, percent: int, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of rows whose class counts a link's difference would allow.
+def class_counts(s: np.ndarray) -> np.ndarray:
+    """How many hashes of a sorted set lie in each class; classes are equal runs of hashes."""
+    classes = max(c for n, c in CLASSES if len(s) >= n)
+    shift = np.uint64(64 - (classes.bit_length() - 1))
+    found = np.bincount((s >> shift).astype(np.int64), minlength=classes)
+    return np.minimum(found, 65_535).astype(np.uint16)
+
+
+def near_by_counts(
+    counts: list[np.ndarray], percent: int, sides: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets whose class counts a link's difference would allow.
 
     A link leaves at most (n + m)(1 - t) / (1 + t) n-grams that only one of both holds, and counts
-    cannot differ by more than that in all.
+    cannot differ by more than that in all. Pairs are compared in as many classes as both have.
     """
-    total = counts.sum(axis=1)
-    comp = np.arange(len(counts))
+    m = len(counts)
+    width = np.array([len(c) for c in counts])
+    total = np.array([c.sum(dtype=np.int64) for c in counts])
+    levels = []
+    for _, classes in CLASSES:
+        own = np.flatnonzero(width >= classes)
+        folded = [counts[i].reshape(classes, -1).sum(axis=1, dtype=np.int32) for i in own]
+        row = np.full(m, -1)
+        row[own] = np.arange(len(own))
+        levels.append((row, np.array(folded, np.int32).reshape(len(own), classes)))
+    comp = np.arange(m)
     forest: list[tuple[int, int]] = []
-    for x in range(len(counts) - 1):
-        later = np.arange(x + 1, len(counts))[comp[x + 1 :] != comp[x]]
+    for x in range(m - 1):
+        later = np.arange(x + 1, m)[comp[x + 1 :] != comp[x]]
         if sides is not None:
             later = later[sides[later] != sides[x]]
-        apart = np.abs(counts[later] - counts[x]).sum(axis=1)
-        for y in later[apart * (100 + percent) <= (total[later] + total[x]) * (100 - percent)]:
+        for row, folded in levels:
+            if row[x] < 0 or not len(later):
+                break
+            both = later[row[later] >= 0]
+            apart = np.abs(folded[row[both]] - folded[row[x]]).sum(axis=1)
+            far = both[apart * (100 + percent) > (total[both] + total[x]) * (100 - percent)]
+            later = later[~np.isin(later, far)]
+        for y in later:
             if comp[y] != comp[x]:
                 forest.append((x, int(y)))
                 comp[comp == comp[y]] = comp[x]
@@ -256,9 +280,9 @@ def _candidates(members: DataFrame, percent: int) -> DataFrame:
         def close(region: list) -> list[tuple]:
             if len(region) < 2:
                 return []
-            counts = np.frombuffer(b"".join(r[3] for r in region), np.uint16).reshape(-1, CLASSES).astype(np.int32)
+            counts = [np.frombuffer(r[3], np.uint16) for r in region]
             sides = np.array([r[1] for r in region])
-            if (counts == 65_535).any():  # a count was cut, so counts exclude nothing
+            if any((c == 65_535).any() for c in counts):  # a count was cut, so counts exclude nothing
                 found = [(0, i) for i in range(1, len(region))]
             else:
                 found = near_by_counts(counts, percent, None if (sides < 0).all() else sides)

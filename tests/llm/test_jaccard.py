@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from riskspark.llm.graph import components
-from riskspark.llm.jaccard import links_of_region, near_duplicates
+from riskspark.llm.jaccard import class_counts, links_of_region, near_by_counts, near_duplicates
 
 SCHEMA = "doc_id long, text string, n_shingles string, id string"
 
@@ -104,3 +104,19 @@ def test_components_of_chains_and_stars(spark):
     rng.shuffle(edges)
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}}
+
+
+def test_class_counts_lose_no_link_and_part_unrelated_sets():
+    rng = np.random.default_rng(2)
+    sets, truth = [], []
+    for n in (1, 30, 790, 810, 3000, 11_990, 12_010, 20_000):
+        base = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+        near = np.unique(np.concatenate([base[: max(1, int(len(base) * 0.9))], rng.integers(0, 2**63, n // 20).astype(np.uint64)]))
+        sets += [base, near]
+        truth.append((len(sets) - 2, len(sets) - 1))
+    forest = near_by_counts([class_counts(s) for s in sets], 80)
+    comp = list(range(len(sets)))
+    for a, b in forest:
+        comp = [comp[b] if x == comp[a] else x for x in comp]
+    assert all(comp[a] == comp[b] for a, b in truth)
+    assert len({comp[a] for a, _ in truth}) >= len(truth) - 2  # 790 and 810, 11,990 and 12,010 are near in size
