@@ -1,10 +1,11 @@
-"""Personal data: pattern spans, and terms near them that give the person away.
+"""Personal data: pattern spans, and terms beside them that give the person away.
 
 Every e-mail address, IP address, card and phone number found is a protected entity. Over the
-whole corpus, n(e) rows hold entity e, n(t) rows hold term t, and in n(e, t) rows t stands near e.
-A term tells log2(n(e, t) N / (n(e) n(t))) bits about an entity that takes log2(N / n(e)) bits to
-name. Where a term tells at least a given share of those bits, it is generalised near that
-entity, and from a higher share on it is removed.
+whole corpus, n(e) rows hold entity e, n(t) rows hold term t, and n(e, t) rows hold both, wherever
+in the text. A term tells log2(s n(e, t) N / (n(e) n(t))) bits about an entity that takes
+log2(N / n(e)) bits to name; s = 1 - 2**-n(e, t) smooths the count, as a single meeting may be
+chance and many hardly are. Where a term tells at least a given share of those bits, it is
+generalised at all its places in the rows of that entity, and from a higher share on removed.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import join_rows, text_slices, written
+from riskspark.llm.common import text_slices, written
+from riskspark.operators.skew import lookup_join
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalised", "removed")
@@ -29,15 +31,13 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
-TERM = re.compile(r"[^\W\d_]{3,}")
+TERM = re.compile(r"[^\W\d_]{2,}")
 
-# Characters on each side of an entity in which terms count as near.
-NEAR = 100
-# Rows in which a term must stand near an entity before it counts as evidence.
-SUPPORT = 2
 GENERALISE, REMOVE = 0.9, 0.98
 # Distinct terms that a task counts before it hands the counts on.
 FLUSH = 200_000
+# Terms in at least 1/COMMON of all rows that can tell nothing are sent to every task to be left out.
+COMMON = 2000
 
 Span = tuple[int, int]
 
@@ -87,43 +87,47 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else NOT_DIGIT.sub('', value)}"
 
 
-def near_terms(text: str, spans: dict[str, list[Span]], near: int = NEAR) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of whole terms within ``near`` characters, outside all spans."""
-    out = []
-    taken = sorted(s for own in spans.values() for s in own)
-    for kind, own in spans.items():
-        for start, end in own:
-            name = entity(kind, text[start:end])
-            low, high = max(0, start - near), min(len(text), end + near)
-            for m in TERM.finditer(text, max(0, low - 1), min(len(text), high + 1)):
-                a, b = m.span()
-                if a < low or b > high or any(s < b and a < e for s, e in taken if e > low and s < high):
-                    continue
-                out.append((name, m[0].lower(), a, b))
+def other_terms(text: str, spans: dict[str, list[Span]]) -> dict[str, list[Span]]:
+    """Every term with its places outside all spans."""
+    out: dict[str, list[Span]] = {}
+    taken, at = sorted(s for own in spans.values() for s in own), 0
+    end = 0  # of the spans that start before the term's end
+    for m in TERM.finditer(text):
+        a, b = m.span()
+        while at < len(taken) and taken[at][0] < b:
+            end = max(end, taken[at][1])
+            at += 1
+        if end <= a:
+            out.setdefault(m[0].lower(), []).append((a, b))
     return out
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-NEARBY = pa.struct(
-    [("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]
-)
+BESIDE = pa.struct([("term", pa.string()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, _, _ in text_slices(batches):
-        base, near = [], []
+        base, entities, beside = [], [], []
         for text in rows.column(2).to_pylist():
             spans = base_spans(text or "")
             base.append([{"kind": k, "start": a, "end": b} for k in KINDS for a, b in spans[k]])
-            near.append(
+            entities.append(sorted({entity(k, text[a:b]) for k in KINDS for a, b in spans[k]}))
+            beside.append(
                 [
-                    {"entity": e, "term": t, "start": a, "end": b}
-                    for e, t, a, b in (near_terms(text, spans) if base[-1] else ())
+                    {"term": t, "starts": [a for a, _ in at], "ends": [b for _, b in at]}
+                    for t, at in (other_terms(text, spans) if base[-1] else {}).items()
                 ]
             )
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), rows.column(1), pa.array(base, pa.list_(SPAN)), pa.array(near, pa.list_(NEARBY))],
-            names=["id", "like", "base", "near"],
+            [
+                rows.column(0),
+                rows.column(1),
+                pa.array(base, pa.list_(SPAN)),
+                pa.array(entities, pa.list_(pa.string())),
+                pa.array(beside, pa.list_(BESIDE)),
+            ],
+            names=["id", "like", "base", "entities", "beside"],
         )
 
 
@@ -152,7 +156,7 @@ def find_personal_data(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    support: int = SUPPORT,
+    support: int = 1,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
@@ -164,58 +168,68 @@ def find_personal_data(
     repeat key and text count each as a row of the corpus and get the same spans. Null keys are
     kept. An empty table gives an empty result. Other columns are ignored.
 
-    Both passes over the texts are row by row; what shuffles are entities, their near terms and
-    one count per term and task.
+    ``support`` is the least number of rows that hold both; one is enough unless more are asked for.
+
+    Both passes over the texts are row by row. A term in more than n(e)**g N**(1 - g) rows cannot
+    tell the share g of an entity's bits, so only rarer ones are paired with an entity; what
+    shuffles are entities, those terms in the rows of entities and one count per term and task.
     """
     body = F.col(f"`{text}`")
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(body).alias("like"), body.alias("text"))
     found = rows.mapInArrow(
         _find,
-        f"id {kind}, like long, base array<struct<kind:string,start:int,end:int>>, "
-        "near array<struct<entity:string,term:string,start:int,end:int>>",
-    )
-    found = written(found, "pii-found")
-    near = found.where(F.size("near") > 0).select("id", "like", F.explode("near").alias("x"))
-    each = found.where(F.size("near") > 0).select(
-        F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"], x["term"])))).alias("x")
-    )
-    pairs = each.groupBy("x.entity", "x.term").count().withColumnRenamed("count", "n_both")
-    pairs = pairs.where(F.col("n_both") >= support)
-    entities = (
-        found.where(F.size("near") > 0)
-        .select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
-        .groupBy("entity")
-        .count()
-        .withColumnRenamed("count", "n_entity")
+        f"id {kind}, like long, base array<struct<kind:string,start:int,end:int>>, entities array<string>, "
+        "beside array<struct<term:string,starts:array<int>,ends:array<int>>>",
     )
+    found = written(found.withColumn("row", F.monotonically_increasing_id()), "pii-found")
+    named = found.where(F.size("entities") > 0).select("row", F.explode("entities").alias("entity"))
+    entities = written(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "pii-entities")
+    n, most = found.count(), entities.agg(F.max("n_entity")).first()[0] or 1
     terms = rows.select("text").mapInArrow(_count, "term string, n long")
-    terms = terms.groupBy("term").agg(F.sum("n").alias("n_term"))
-    total = found.agg(F.count(F.lit(1)).alias("n")).scalar()
+    terms = written(terms.groupBy("term").agg(F.sum("n").alias("n_term")), "pii-terms")
+
+    def may_tell(n_entity: Column) -> Column:
+        """At best all rows of the entity hold the term."""
+        return F.log2(n / F.col("n_term")) >= generalise * F.log2(n / n_entity) - 1e-9
+
+    telling = may_tell(F.lit(most))
+    common = terms.where(~telling & (F.col("n_term") * COMMON >= n)).select("term")
+    beside = (
+        found.where(F.size("entities") > 0)
+        .select("row", F.inline("beside"))
+        .join(F.broadcast(common), "term", "left_anti")
+    )
+    beside = lookup_join(beside, terms.where(telling).withColumn("_n", F.col("n_term")), ["term"], "_n", "inner")
+    named = lookup_join(named, entities.withColumn("_n", F.col("n_entity")), ["entity"], "_n", "inner")
+    pairs = written(beside.join(named, "row").where(may_tell(F.col("n_entity"))), "pii-pairs")
+    meets = F.col("n_both")
     told = (
-        pairs.join(entities, "entity")
-        .join(terms, "term")
-        .withColumn("n", total)
-        .withColumn("bits", F.log2(F.col("n") / F.col("n_entity")))
-        .withColumn("told", F.log2(F.col("n_both") * F.col("n") / F.col("n_entity") / F.col("n_term")))
+        pairs.groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("n_both"), F.min("n_entity").alias("n_entity"), F.min("n_term").alias("n_term"))
+        .where(meets >= support)
+        .withColumn("bits", F.log2(n / F.col("n_entity")))
+        .withColumn("told", F.log2((1 - F.pow(F.lit(0.5), meets)) * meets * n / F.col("n_entity") / F.col("n_term")))
         .where((F.col("bits") > 0) & (F.col("told") >= generalise * F.col("bits")))
         .select(
             "entity",
             "term",
+            "n_both",
             F.when(F.col("told") >= remove * F.col("bits"), ADDED[1]).otherwise(ADDED[0]).alias("kind"),
         )
     )
     told = written(told, "pii-told")
     added = (
-        near.select("id", "like", "x.*")
-        .join(told, ["entity", "term"])
-        .groupBy("id", "like", "start", "end")
+        lookup_join(pairs.select("row", "entity", "term", "starts", "ends"), told, ["entity", "term"], "n_both", "inner")
+        .select("row", "kind", F.inline(F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"))))
+        .toDF("row", "kind", "start", "end")
+        .groupBy("row", "start", "end")
         .agg(F.max("kind").alias("kind"))  # removed, where any entity asks for it
-        .groupBy("id", "like")
+        .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
     )
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return join_rows(found, added).select(
+    return found.select("row", "id", "like", "base").join(added, "row", "left").select(
         F.col("id").alias(key), "like", "base", F.coalesce("added", none).alias("added")
     )
 

@@ -110,6 +110,21 @@ def test_counts_against_brute_force(spark):
     assert got == want and want
 
 
+def test_entity_of_a_single_row(spark):
+    """A term only in that row tells it, in any paragraph, at all its places, with two letters too."""
+    far = "plain words again\n\n" * 30
+    rows = [(i, f"{far} to be filled number {i}", "x", "y") for i in range(1500)]
+    rows.append((9000, f"Zorblax Ng wrote {far} jo.doe@mail.example.org {far} said zorblax", "x", "y"))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    added = find_personal_data(docs).where("doc_id = 9000").first()["added"]
+    text = rows[-1][1]
+    assert [text[s["start"] : s["end"]] for s in added] == ["Zorblax", "Ng", "wrote", "said", "zorblax"]
+    assert {s["kind"] for s in added} == {"generalised"}  # one meeting may be chance
+    clean = {r["doc_id"]: r["text"] for r in sanitise(docs).collect()}
+    assert clean[9000] == f"[TERM] [TERM] [TERM] {far} [EMAIL] {far} [TERM] [TERM]"
+    assert all(clean[i] == text for i, text, *_ in rows[:-1])
+
+
 def test_sanitised_rows(spark):
     docs = spark.createDataFrame(corpus(), SCHEMA)
     out = sanitise(docs)
