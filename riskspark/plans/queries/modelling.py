@@ -18,7 +18,7 @@ from riskspark.plans.adapter import SPLIT, table
 from riskspark.plans.queries.base import CLEAN, query, r6, rows
 from riskspark.session import materialize, shared_dir
 
-# Labelled rows that a fit uses, at most about this many, by the hash of their id.
+# Labelled rows that the fit of a model uses (its preparation takes all), at most about this many, by the hash of their id.
 FIT_ROWS = 20_000
 CATEGORICAL = ["lang", "source"]
 NUMERIC = ["n_chars", "n_words", "n_lines", "upper_share", "digit_share"]
@@ -74,10 +74,16 @@ def for_fitting(train):
     return known.coalesce(1 + min(n, FIT_ROWS) // 5000)
 
 
+def fit_preparation(measured):
+    """Fill values, moments and categories of all labelled training rows."""
+    known = split_of(measured, "train").where(F.col("target").isNotNull())
+    return P.fit_preprocessor(known, CATEGORICAL, NUMERIC)
+
+
 def prepared_documents(spark, sf_dir):
     """Vectors of all documents, written once, and the preparation that gave them."""
     measured = materialize(measured_documents(spark, sf_dir), "measured")
-    preparation = P.fit_preprocessor(for_fitting(split_of(measured, "train")), CATEGORICAL, NUMERIC)
+    preparation = fit_preparation(measured)
     vectors = preparation.transform(measured).select("doc_id", "features", "target", "split")
     path = shared_dir(spark, "prepared")
     vectors.write.parquet(path)
@@ -293,7 +299,7 @@ def fitted_pipeline(spark, sf_dir):
     """Measured documents, and preparation and logistic model as one pipeline."""
     measured = materialize(measured_documents(spark, sf_dir), "measured")
     train = for_fitting(split_of(measured, "train"))
-    preparation = P.fit_preprocessor(train, CATEGORICAL, NUMERIC)
+    preparation = fit_preparation(measured)
     model = ML.fit_logistic(preparation.transform(train))
     return measured, PipelineModel([*preparation.stages, model])
 

@@ -205,3 +205,14 @@ def test_score_parity_sees_every_kind_of_difference(spark):
     nan = served.withColumn("score", F.when(F.col("k") == 1, float("nan")).otherwise(F.col("score")))
     row = G.score_parity(nan, local, "k", 0.5).first()
     assert row["missing_scores"] == 1 and not row["parity"] and row["versions"] == "1"
+
+
+def test_preparation_takes_all_labelled_rows(spark, monkeypatch):
+    """However few rows a model is fitted on, means, deviations and categories are of all."""
+    from conftest import SF
+
+    from riskspark.plans.queries import modelling
+
+    want = sorted(map(tuple, modelling.assembled_vectors(spark, SF).collect()))
+    monkeypatch.setattr(modelling, "FIT_ROWS", 5)
+    assert sorted(map(tuple, modelling.assembled_vectors(spark, SF).collect())) == want
