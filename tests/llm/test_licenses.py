@@ -3,7 +3,7 @@ import random
 import re
 from collections import Counter
 
-from riskspark.llm.licenses import TEMPLATES, scan_licenses
+from riskspark.llm.licenses import TEMPLATES, TEXTS, _text, scan_licenses
 
 SCHEMA = "doc_id long, path string, text string, license string"
 
@@ -80,3 +80,82 @@ def test_nearest_directory_wins(spark):
     assert (got[4]["inherited"], got[4]["inherited_from"]) == ("MIT", "")
     assert got[5]["license"] == "CC-BY-NC-4.0" and got[5]["inherited"] is None and not got[5]["whole_file"]
     assert scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+MIT = """Copyright (c) 2021 Jo Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GPL = """# This file is part of Frob.
+#
+# Frob is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# Frob is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+#
+# You should have received a copy of the GNU General Public License
+# along with Frob.  If not, see <http://www.gnu.org/licenses/>.
+"""
+APACHE = """/*
+ * Copyright 2019 The Frob Authors
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */
+"""
+
+
+def test_real_forms(spark):
+    """Wrapped files and headers above code, notices on one line, and whole licences."""
+    rng = random.Random(2)
+    code = "".join(f"let {''.join(rng.choices('abcdefgh', k=7))} = call{i}(frob)\n" for i in range(200))
+    one_line = lambda t: " ".join(re.findall(r"[^\s#*]+", t))
+    forms = {"MIT": MIT, "GPL-3.0": GPL, "Apache-2.0": APACHE, "MPL-2.0": MPL}
+    rows, want = [], {}
+    for name, form in forms.items():
+        for text, whole in ((form, True), (form + code, False), (code + one_line(form) + "\n" + code, False)):
+            rows.append((len(rows), f"{len(rows)}/x", text, ""))
+            want[len(rows) - 1] = (name, whole)
+    for name in TEXTS:
+        full = _text(name).split()
+        text = "Frob, copyright 2020\n" + "\n".join(" ".join(full[i : i + 11]) for i in range(0, len(full), 11))
+        rows.append((len(rows), f"{len(rows)}/x", text, ""))
+        want[len(rows) - 1] = (name, True)
+    rows.append((len(rows), "x/x", code, ""))
+    want[len(rows) - 1] = (None, False)
+    got = scan_licenses(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["doc_id"]: (r["license"], r["whole_file"]) for r in got} == want
