@@ -14,6 +14,7 @@ from riskspark.llm.jaccard import near_duplicates
 from riskspark.llm.licenses import scan_licenses
 from riskspark.llm.maxscore import top_k
 from riskspark.llm.pii import KINDS, find_personal_data
+from riskspark.llm.packing import pack
 from riskspark.llm.pieces import load
 from riskspark.llm.sampling import sample_encode
 from riskspark.llm.sharding import hilbert_shards
@@ -215,3 +216,11 @@ def op8_license_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     return scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
+
+
+@query("op13_large_item_matching")
+def op13_large_item_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as tokens in sequences of at most 4096."""
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
