@@ -14,6 +14,7 @@ from riskspark.llm.jaccard import near_duplicates
 from riskspark.llm.licenses import scan_licenses
 from riskspark.llm.maxscore import top_k
 from riskspark.llm.pii import KINDS, find_personal_data
+from riskspark.llm.merkle import build_manifest, prove
 from riskspark.llm.packing import pack
 from riskspark.llm.pieces import load
 from riskspark.llm.sampling import sample_encode
@@ -224,3 +225,24 @@ def op13_large_item_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op12_octopus_proofs")
+def op12_octopus_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and what it leads to where letters of a third of the texts were changed."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    manifest = build_manifest(
+        table(spark, sf_dir, "documents"),
+        claims={"text": F.translate("text", upper, lower)},
+        where=F.crc32(F.col("doc_id").cast("string")) % 3 == 0,
+    )
+    root = F.lit(manifest.root).cast("string")
+    return prove(manifest, digests=True).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == root).alias("verified"),
+    )
