@@ -21,6 +21,7 @@ from riskspark.llm.sampling import sample_encode
 from riskspark.llm.sharding import hilbert_shards
 from riskspark.llm.suffixes import remove_repeats
 from riskspark.llm.token_counts import token_counts
+from riskspark.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -246,3 +247,10 @@ def op12_octopus_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("folded").alias("folded_root"),
         (F.col("folded") == root).alias("verified"),
     )
+
+
+@query("op11_qdwh_whitening")
+def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whitened components of every embedding."""
+    found = whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
