@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import text_slices, written
+from riskspark.llm.common import join_rows, text_slices, written
 from riskspark.operators.skew import lookup_join
 
 KINDS = ("email", "ip", "card", "phone")
@@ -33,11 +34,18 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 TERM = re.compile(r"[^\W\d_]{2,}")
 
-GENERALISE, REMOVE = 0.9, 0.98
+# The share of an entity's bits that a term may tell before it is generalised, and the bits that a
+# term must leave untold not to be removed: one row with both leaves one bit, two leave 0.4.
+GENERALISE, REMOVE = 0.9, 0.5
+# Bytes of text that a step works on, and places of terms in one record.
+SLICE = 250_000
+PART = 20_000
 # Distinct terms that a task counts before it hands the counts on.
-FLUSH = 200_000
-# Terms in at least 1/COMMON of all rows that can tell nothing are sent to every task to be left out.
-COMMON = 2000
+FLUSH = 100_000
+# Terms in at least 1/COMMON of all rows that can tell nothing are sent to every task to be left out,
+# this many at most; those that are not sent are left out by a join.
+COMMON = 1000
+MOST_COMMON = 200_000
 
 Span = tuple[int, int]
 
@@ -87,9 +95,8 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else NOT_DIGIT.sub('', value)}"
 
 
-def other_terms(text: str, spans: dict[str, list[Span]]) -> dict[str, list[Span]]:
-    """Every term with its places outside all spans."""
-    out: dict[str, list[Span]] = {}
+def other_terms(text: str, spans: dict[str, list[Span]]) -> Iterator[tuple[str, int, int]]:
+    """Every term outside all spans, with its place."""
     taken, at = sorted(s for own in spans.values() for s in own), 0
     end = 0  # of the spans that start before the term's end
     for m in TERM.finditer(text):
@@ -98,58 +105,97 @@ def other_terms(text: str, spans: dict[str, list[Span]]) -> dict[str, list[Span]
             end = max(end, taken[at][1])
             at += 1
         if end <= a:
-            out.setdefault(m[0].lower(), []).append((a, b))
-    return out
+            yield m[0].lower(), a, b
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-BESIDE = pa.struct([("term", pa.string()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+ROW = "is_row boolean, id {}, like long, base array<struct<kind:string,start:int,end:int>>, entities array<string>, term string, n long"
+PLACES = (
+    "row long, id {}, like long, entities array<string>, "
+    "terms array<string>, starts array<int>, ends array<int>, firsts array<boolean>"
+)
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, _, _ in text_slices(batches):
-        base, entities, beside = [], [], []
-        for text in rows.column(2).to_pylist():
-            spans = base_spans(text or "")
-            base.append([{"kind": k, "start": a, "end": b} for k in KINDS for a, b in spans[k]])
-            entities.append(sorted({entity(k, text[a:b]) for k in KINDS for a, b in spans[k]}))
-            beside.append(
-                [
-                    {"term": t, "starts": [a for a, _ in at], "ends": [b for _, b in at]}
-                    for t, at in (other_terms(text, spans) if base[-1] else {}).items()
-                ]
-            )
-        yield pa.RecordBatch.from_arrays(
-            [
-                rows.column(0),
-                rows.column(1),
-                pa.array(base, pa.list_(SPAN)),
-                pa.array(entities, pa.list_(pa.string())),
-                pa.array(beside, pa.list_(BESIDE)),
-            ],
-            names=["id", "like", "base", "entities", "beside"],
-        )
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spans_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A record for every row, and records of how many of the task's rows hold each term."""
     counts: Counter[str] = Counter()
+    names = ["is_row", "id", "like", "base", "entities", "term", "n"]
 
-    def handed_on() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(list(counts.keys()), pa.string()), pa.array(list(counts.values()), pa.int64())],
-            names=["term", "n"],
-        )
+    def handed_on(key: pa.DataType) -> pa.RecordBatch:
+        terms = pa.array(list(counts.keys()), pa.string()), pa.array(list(counts.values()), pa.int64())
+        kinds = (key, pa.int64(), pa.list_(SPAN), pa.list_(pa.string()))
+        none = [pa.nulls(len(counts), kind) for kind in kinds]
+        out = pa.RecordBatch.from_arrays([pa.array([False] * len(counts)), *none, *terms], names=names)
         counts.clear()
         return out
 
-    for rows, _, _ in text_slices(batches):
-        for text in rows.column(0).to_pylist():
-            if text:
-                counts.update({w.lower() for w in TERM.findall(text)})
-                if len(counts) > FLUSH:
-                    yield handed_on()
+    key = None
+    for rows, _, _ in text_slices(batches, limit=SLICE):
+        base, entities, key = [], [], rows.column(0).type
+        for text in rows.column(2).to_pylist():
+            spans = base_spans(text or "")
+            base.append([{"kind": k, "start": a, "end": b} for k in KINDS for a, b in spans[k]])
+            entities.append(sorted({entity(k, text[a:b]) for k in KINDS for a, b in spans[k]}))
+            counts.update({m[0].lower() for m in TERM.finditer(text or "")})
+        own = [pa.array([True] * len(rows)), rows.column(0), rows.column(1), pa.array(base, pa.list_(SPAN))]
+        own += [pa.array(entities, pa.list_(pa.string())), pa.nulls(len(rows), pa.string()), pa.nulls(len(rows), pa.int64())]
+        yield pa.RecordBatch.from_arrays(own, names=names)
+        if len(counts) > FLUSH:
+            yield handed_on(key)
     if counts:
-        yield handed_on()
+        yield handed_on(key)
+
+
+def _places(common: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of entities with all their other terms but the common ones, in parts of at most PART places."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left_out, row = common.value, TaskContext.get().partitionId() << 40
+        for rows, _, _ in text_slices(batches, limit=SLICE):
+            at, number, entities, ends = [], [], [], [0]
+            flat: tuple[list, ...] = ([], [], [], [])
+            for i, text in enumerate(rows.column(2).to_pylist()):
+                spans = base_spans(text or "")
+                if not any(spans.values()):
+                    continue
+                row += 1
+                found, seen = sorted({entity(k, text[a:b]) for k in KINDS for a, b in spans[k]}), set()
+                for term, a, b in other_terms(text, spans):
+                    if term not in left_out:
+                        for column, value in zip(flat, (term, a, b, term not in seen), strict=True):
+                            column.append(value)
+                        seen.add(term)
+                        if len(flat[0]) - ends[-1] == PART:
+                            for column, value in zip((at, number, entities, ends), (i, row, found, len(flat[0])), strict=True):
+                                column.append(value)
+                            found = []
+                for column, value in zip((at, number, entities, ends), (i, row, found, len(flat[0])), strict=True):
+                    column.append(value)
+            if at:
+                where, of = pa.array(at, pa.int64()), pa.array(ends, pa.int32())
+                kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_())
+                lists = [pa.ListArray.from_arrays(of, pa.array(c, k)) for c, k in zip(flat, kinds, strict=True)]
+                columns = [pa.array(number, pa.int64()), rows.column(0).take(where), rows.column(1).take(where)]
+                columns += [pa.array(entities, pa.list_(pa.string())), *lists]
+                names = ["row", "id", "like", "entities", "terms", "starts", "ends", "firsts"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return apply
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of a row's told terms, from (id, like, terms, starts, ends, told)."""
+    for rows in batches:
+        for n in range(len(rows)):
+            one = rows.slice(n, 1)
+            told = {t["term"]: t["kind"] for t in one.column(5)[0].as_py()}
+            terms, starts, ends = (one.column(c)[0].values for c in (2, 3, 4))
+            hit = [i for i, t in enumerate(terms.to_pylist()) if t in told]
+            kinds = pa.array([told[terms[i].as_py()] for i in hit], pa.string())
+            where = pa.array(hit, pa.int64())
+            spans = pa.StructArray.from_arrays([kinds, starts.take(where), ends.take(where)], ["kind", "start", "end"])
+            lists = pa.ListArray.from_arrays(pa.array([0, len(hit)], pa.int32()), spans)
+            yield pa.RecordBatch.from_arrays([one.column(0), one.column(1), lists], names=["id", "like", "added"])
 
 
 def find_personal_data(
@@ -170,68 +216,67 @@ def find_personal_data(
 
     ``support`` is the least number of rows that hold both; one is enough unless more are asked for.
 
-    Both passes over the texts are row by row. A term in more than n(e)**g N**(1 - g) rows cannot
-    tell the share g of an entity's bits, so only rarer ones are paired with an entity; what
-    shuffles are entities, those terms in the rows of entities and one count per term and task.
+    Both passes over the texts are row by row; the second is over the terms of entities' rows only. A
+    term in more than n(e)**g N**(1 - g) rows cannot tell the share g of an entity's bits, so only
+    rarer ones are paired with an entity. Entities that stand in the same rows are told alike and
+    are paired as one, so the many entities of a list cost what one does.
     """
-    body = F.col(f"`{text}`")
+    spark, body = docs.sparkSession, F.col(f"`{text}`")
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(body).alias("like"), body.alias("text"))
-    found = rows.mapInArrow(
-        _find,
-        f"id {kind}, like long, base array<struct<kind:string,start:int,end:int>>, entities array<string>, "
-        "beside array<struct<term:string,starts:array<int>,ends:array<int>>>",
-    )
-    found = written(found.withColumn("row", F.monotonically_increasing_id()), "pii-found")
-    named = found.where(F.size("entities") > 0).select("row", F.explode("entities").alias("entity"))
-    entities = written(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "pii-entities")
-    n, most = found.count(), entities.agg(F.max("n_entity")).first()[0] or 1
-    terms = rows.select("text").mapInArrow(_count, "term string, n long")
-    terms = written(terms.groupBy("term").agg(F.sum("n").alias("n_term")), "pii-terms")
+    both = written(rows.mapInArrow(_spans_and_counts, ROW.format(kind)), "pii-found")
+    found = both.where("is_row").select("id", "like", "base", "entities")
+    terms = both.where("NOT is_row").groupBy("term").agg(F.sum("n").alias("n_term"))
+    terms = written(terms, "pii-terms")
+    held = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+    n, most = found.count(), held.agg(F.max("n")).first()[0] or 1
 
     def may_tell(n_entity: Column) -> Column:
         """At best all rows of the entity hold the term."""
         return F.log2(n / F.col("n_term")) >= generalise * F.log2(n / n_entity) - 1e-9
 
     telling = may_tell(F.lit(most))
-    common = terms.where(~telling & (F.col("n_term") * COMMON >= n)).select("term")
-    beside = (
-        found.where(F.size("entities") > 0)
-        .select("row", F.inline("beside"))
-        .join(F.broadcast(common), "term", "left_anti")
+    common = terms.where(~telling & (F.col("n_term") * COMMON >= n)).select("term").limit(MOST_COMMON).collect()
+    left_out = spark.sparkContext.broadcast(frozenset(r["term"] for r in common))
+    places = written(rows.mapInArrow(_places(left_out), PLACES.format(kind)), "pii-places")
+
+    named = places.select("row", F.explode("entities").alias("entity"))
+    # Two hashes of 64 bits over the set of rows name the entities that stand in the same rows.
+    entities = named.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_entity"),
+        F.bit_xor(F.xxhash64("row")).alias("a"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b"),
     )
-    beside = lookup_join(beside, terms.where(telling).withColumn("_n", F.col("n_term")), ["term"], "_n", "inner")
-    named = lookup_join(named, entities.withColumn("_n", F.col("n_entity")), ["entity"], "_n", "inner")
-    pairs = written(beside.join(named, "row").where(may_tell(F.col("n_entity"))), "pii-pairs")
+    entities = written(entities.withColumn("_n", F.col("n_entity")), "pii-entities")
+    named = lookup_join(named, entities, ["entity"], "_n", "inner").drop("entity").distinct()
+    in_row = places.select("row", F.inline(F.arrays_zip("terms", "firsts"))).where("firsts").select("row", F.col("terms").alias("term"))
+    in_row = lookup_join(in_row, terms.where(telling).withColumn("_n", F.col("n_term")), ["term"], "_n", "inner")
+    pairs = written(in_row.join(named, "row").where(may_tell(F.col("n_entity"))), "pii-pairs")
     meets = F.col("n_both")
     told = (
-        pairs.groupBy("entity", "term")
+        pairs.groupBy("a", "b", "term")
         .agg(F.count(F.lit(1)).alias("n_both"), F.min("n_entity").alias("n_entity"), F.min("n_term").alias("n_term"))
         .where(meets >= support)
         .withColumn("bits", F.log2(n / F.col("n_entity")))
-        .withColumn("told", F.log2((1 - F.pow(F.lit(0.5), meets)) * meets * n / F.col("n_entity") / F.col("n_term")))
-        .where((F.col("bits") > 0) & (F.col("told") >= generalise * F.col("bits")))
-        .select(
-            "entity",
-            "term",
-            "n_both",
-            F.when(F.col("told") >= remove * F.col("bits"), ADDED[1]).otherwise(ADDED[0]).alias("kind"),
-        )
+        .withColumn("left", F.log2(F.col("n_term") / meets / (1 - F.pow(F.lit(0.5), meets))))
+        .where((F.col("bits") > 0) & (F.col("bits") - F.col("left") >= generalise * F.col("bits")))
+        .select("a", "b", "term", "n_both", F.when(F.col("left") <= remove, ADDED[1]).otherwise(ADDED[0]).alias("kind"))
     )
     told = written(told, "pii-told")
-    added = (
-        lookup_join(pairs.select("row", "entity", "term", "starts", "ends"), told, ["entity", "term"], "n_both", "inner")
-        .select("row", "kind", F.inline(F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"))))
-        .toDF("row", "kind", "start", "end")
-        .groupBy("row", "start", "end")
+    of_row = (
+        lookup_join(pairs.select("row", "a", "b", "term"), told, ["a", "b", "term"], "n_both", "inner")
+        .groupBy("row", "term")
         .agg(F.max("kind").alias("kind"))  # removed, where any entity asks for it
         .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
+        .agg(F.collect_list(F.struct("term", "kind")).alias("told"))
     )
+    added = places.join(of_row, "row").select("id", "like", "terms", "starts", "ends", "told")
+    added = added.mapInArrow(_added, f"id {kind}, like long, added array<struct<kind:string,start:int,end:int>>")
+    # Parts of a row, and rows that repeat key and text, which have the same places.
+    added = added.groupBy("id", "like").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("added")))).alias("added"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return found.select("row", "id", "like", "base").join(added, "row", "left").select(
-        F.col("id").alias(key), "like", "base", F.coalesce("added", none).alias("added")
-    )
+    joined = join_rows(found.select("id", "like", "base"), written(added, "pii-added"))
+    return joined.select(F.col("id").alias(key), "like", "base", F.coalesce("added", none).alias("added"))
 
 
 def _replace(text: str, spans: list[dict]) -> str:
@@ -254,22 +299,23 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     """
     found = find_personal_data(docs, key, text, **options)
     found = (
-        found.select(F.col(key).alias("_id"), F.col("like").alias("_like"), F.concat("base", "added").alias("_spans"))
-        .where(F.size("_spans") > 0)
-        .groupBy("_id", "_like")  # rows that repeat key and text
-        .agg(F.first("_spans").alias("_spans"))
+        found.select(F.col(key).alias("id"), "like", F.concat("base", "added").alias("spans"))
+        .where(F.size("spans") > 0)
+        .groupBy("id", "like")  # rows that repeat key and text
+        .agg(F.first("spans").alias("spans"))
+    )
+    body, names = F.col(f"`{text}`"), docs.columns
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c != text]
+    rows = docs.select(
+        F.struct(F.lit(0).alias("none"), *others).alias("row"), F.col(f"`{key}`").alias("id"), F.xxhash64(body).alias("like"), body.alias("text")
     )
-    body = F.col(f"`{text}`")
-    match = F.col(f"`{key}`").eqNullSafe(F.col("_id")) & (F.xxhash64(body) == F.col("_like"))
-    at = docs.columns.index(text)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            texts, spans = rows.column(at).to_pylist(), rows.column(len(docs_columns)).to_pylist()
+        for part, _, _ in text_slices(batches, limit=SLICE):
+            texts, spans = part.column(1).to_pylist(), part.column(2).to_pylist()
             new = [_replace(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
-            columns = [pa.array(new, pa.string()) if i == at else rows.column(i) for i in range(len(docs_columns))]
-            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(new, pa.string())], names=["row", "text"])
 
-    docs_columns = docs.columns
-    own = [docs[f"`{c}`"] for c in docs_columns]
-    return docs.join(found, match, "left").select(*own, "_spans").mapInArrow(apply, docs.schema)
+    marked = join_rows(rows, found).select("row", "text", "spans")
+    clean = marked.mapInArrow(apply, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    return clean.select(*[F.col("text" if c == text else f"row.c{i}").alias(c) for i, c in enumerate(names)])
