@@ -126,7 +126,10 @@ class FeatureBuilder(Estimator):
 
 
 class FeatureBuilderModel(Model):
-    """Adds base features and as-of history; the same object serves training and scoring."""
+    """Adds base features and as-of history; the same object serves training and scoring.
+
+    Rows that already carry both history columns, as those of ``history_stream`` do, keep them.
+    """
 
     def __init__(self, history: DataFrame, roles: Roles = ROLES, prune_history: bool = False):
         super().__init__()
@@ -134,6 +137,8 @@ class FeatureBuilderModel(Model):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         parsed = parse_times(df, [self.roles.known_at, self.roles.outcome_at])
+        if {"previous_appointments", "previous_miss_rate"} <= set(df.columns):
+            return base_features(parsed, self.roles)  # the history came with the rows
         history = self.history
         if self.prune_history:
             history = history_of(history, parsed, self.roles)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskspark.functions import normalize_label
 from riskspark.operators.models import fit_logistic
 from riskspark.plans.adapter import SPLIT, appointments, requests
-from riskspark.plans.queries.base import REQ, query, r6, stamp
+from riskspark.plans.queries.base import CLEAN, REQ, query, r6, rows, stamp
 from riskspark.plans.queries.drifting import FEEDBACK_ROWS, prediction_and_outcome_logs
 from riskspark.plans.queries.sourcing import HOURS
 from riskspark.plans.queries.validating import REQUESTS, request_rows
@@ -14,7 +14,9 @@ from riskspark.plans.training import Scorer, prepare, scorer
 from riskspark.session import configure, materialize, shared_dir
 from riskspark.sources.readers import read_request_stream
 from riskspark.streaming.feedback import feedback_stream
+from riskspark.streaming.history import history_stream
 from riskspark.streaming.scoring import Champion, score_stream, score_table
+from riskspark.streaming.stateful import held_alerts_stream, keyed_state, spells, watchdog_stream
 from riskspark.streaming.telemetry import (
     alerts_per_window_stream,
     append_to_table,
@@ -33,6 +35,24 @@ def landed(df, purpose):
     return read_request_stream(df.sparkSession, path, df.schema)
 
 
+def arriving(spark, tables, stream_of, purpose):
+    """Land each table's slices one round after another, running the stream to its end after each.
+
+    ``tables`` maps a name to the slices of that table; ``stream_of`` makes the stream from
+    the streams of the tables. Every round is a restart from the checkpoint.
+    """
+    inboxes = {name: shared_dir(spark, f"{purpose}-{name}") for name in tables}
+    path, checkpoint = shared_dir(spark, purpose), shared_dir(spark, f"{purpose}-checkpoint")
+    with keyed_state(spark):
+        for slices in zip(*tables.values(), strict=True):
+            for name, rows_of in zip(tables, slices, strict=True):
+                rows_of.write.mode("append").parquet(inboxes[name])
+            schemas = {name: parts[0].schema for name, parts in tables.items()}
+            stream = stream_of(**{n: read_request_stream(spark, inboxes[n], schemas[n]) for n in tables})
+            append_to_table(stream, path, checkpoint).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
 def finished(stream, purpose):
     """Run the stream to its end into a table, and read the table."""
     spark = stream.sparkSession
@@ -191,3 +211,115 @@ def scores_by_version(spark, sf_dir):
     _run_scoring(spark, source, champion, paths)
     scored = spark.read.parquet(paths[0])
     return scored.groupBy("model_version").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rounds(df, at, days):
+    """Slices of the rows by day, in the order of days."""
+    bounds = [F.lit(d).cast("timestamp") for d in days]
+    column = F.col(at)
+    return (
+        [df.where(column < bounds[0])]
+        + [df.where((column >= a) & (column < b)) for a, b in zip(bounds, bounds[1:], strict=False)]
+        + [df.where(column >= bounds[-1])]
+    )
+
+
+DAYS = ("1994-05-01", "1996-09-01")
+
+
+def _grown(spark, sf_dir, requests_of):
+    """Every request with the history that outcomes have told so far, in three rounds of days."""
+    cleaned = rows(spark, sf_dir)
+    outcomes = cleaned.select("patient_id", "appointment_day", "target")
+    slices = {
+        "outcomes": _rounds(outcomes, "appointment_day", DAYS),
+        "requests": _rounds(requests_of(cleaned), "scheduled_day", DAYS),
+    }
+    return arriving(spark, slices, lambda outcomes, requests: history_stream(outcomes, requests), "history")
+
+
+GROWN = f"""{CLEAN}, grown AS (SELECT a.appointment_id, count(t.appointment_id) AS n, coalesce(sum(t.target), 0) AS k
+    FROM cleaned a LEFT JOIN cleaned t ON a.patient_id = t.patient_id
+      AND CAST(t.appointment_day AS DATE) < CAST(a.scheduled_day AS DATE) GROUP BY 1)"""
+
+
+@query(
+    "streamed_history",
+    f"""WITH {GROWN} SELECT appointment_id, CAST(n AS DOUBLE) AS previous_appointments,
+      round(CASE WHEN n = 0 THEN 0 ELSE k / CAST(n AS DOUBLE) END, 6) AS previous_miss_rate FROM grown""",
+)
+def streamed_history(spark, sf_dir):
+    """Outcomes and requests as streams in the order of days: each request sees all earlier days."""
+    found = _grown(spark, sf_dir, lambda df: df.select("appointment_id", "patient_id", "scheduled_day"))
+    return r6(
+        found.select("appointment_id", "previous_appointments", "previous_miss_rate"), "previous_miss_rate"
+    )
+
+
+def error_series(spark, sf_dir):
+    """Five-minute error rates of four groups of callers, and one row that says how late it is."""
+    log = requests(spark, sf_dir).withColumn("team", F.col("caller") % 4)
+    series = (
+        log.groupBy("team", F.window("ts", "5 minutes")["start"].alias("window_start"))
+        .agg(F.avg((F.col("status") >= 500).cast("double")).alias("error_rate"))
+        .select("team", "window_start", "error_rate")
+    )
+    late = log.agg(
+        F.lit(-1).cast("long").alias("team"),
+        (F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("window_start"),
+        F.lit(None).cast("double").alias("error_rate"),
+    )
+    return series.unionByName(late)
+
+
+EVENT_DAYS = ("2024-01-11", "2024-01-21")
+
+
+@query(
+    "streamed_held_alerts",
+    f"""WITH {REQ}, errs AS (SELECT caller % 4 AS team, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+        avg(CASE WHEN status >= 500 THEN 1.0 ELSE 0 END) AS error_rate FROM req GROUP BY 1, 2),
+      o AS (SELECT team, window_start, error_rate > 0.01 AS hot, lag(error_rate > 0.01) OVER w AS was_hot, lag(window_start) OVER w AS before
+        FROM errs WINDOW w AS (PARTITION BY team ORDER BY window_start)),
+      s AS (SELECT team, window_start, sum(CASE WHEN was_hot AND epoch(window_start) - epoch(before) <= 7200 THEN 0 ELSE 1 END)
+        OVER (PARTITION BY team ORDER BY window_start) AS spell FROM o WHERE hot),
+      e AS (SELECT team, min(window_start) AS a, max(window_start) AS b FROM s GROUP BY team, spell)
+    SELECT team, strftime(a, '%Y-%m-%d %H:%M:%S') AS started_at, strftime(a + INTERVAL 10 MINUTE, '%Y-%m-%d %H:%M:%S') AS fired_at,
+      strftime(b, '%Y-%m-%d %H:%M:%S') AS ended_at FROM e WHERE epoch(b) - epoch(a) >= 600""",
+)
+def streamed_held_alerts(spark, sf_dir):
+    """Error rate of a group of callers above 1 % for ten minutes, rows at most two hours apart."""
+    slices = {"series": _rounds(error_series(spark, sf_dir), "window_start", EVENT_DAYS)}
+    states = arriving(
+        spark,
+        slices,
+        lambda series: held_alerts_stream(series, F.col("error_rate") > 0.01, 600, 7200, ["team"]),
+        "held-alerts",
+    )
+    found = spells(states, ["team"], "firing", "resolved").toDF("team", "started_at", "fired_at", "ended_at")
+    return stamp(found, "started_at", "fired_at", "ended_at")
+
+
+@query(
+    "streamed_silences",
+    f"""WITH {REQ}, r AS (SELECT path, caller % 8 AS shard, ts, lead(ts) OVER (PARTITION BY path, caller % 8 ORDER BY ts) AS later,
+        (SELECT max(ts) + INTERVAL 1 DAY FROM req) AS now FROM req)
+    SELECT path, shard, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_seen, strftime(ts + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S') AS silent_at,
+      strftime(later, '%Y-%m-%d %H:%M:%S') AS back_at FROM r WHERE coalesce(later, now) > ts + INTERVAL 6 HOUR""",
+)
+def streamed_silences(spark, sf_dir):
+    """Paths per group of callers from which nothing came for more than six hours, open ones included."""
+    log = requests(spark, sf_dir).select("path", (F.col("caller") % 8).alias("shard"), "ts")
+    late = log.agg(
+        F.lit("now").alias("path"),
+        F.lit(-1).cast("long").alias("shard"),
+        (F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"),
+    )
+    states = arriving(
+        spark,
+        {"reports": _rounds(log.unionByName(late), "ts", EVENT_DAYS)},
+        lambda reports: watchdog_stream(reports, 6 * 3600, ["path", "shard"], "ts", tick=F.col("path") == "now"),
+        "watchdog",
+    )
+    found = spells(states, ["path", "shard"], "silent", "back")
+    return stamp(found.toDF("path", "shard", "last_seen", "silent_at", "back_at"), "last_seen", "silent_at", "back_at")
