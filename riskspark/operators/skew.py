@@ -33,7 +33,7 @@ def lookup_join(
     hot = (
         lookup.select(*keys, F.col(weight).alias("_w"))
         .withColumn("_t", total)
-        .where(F.col("_w") * HOT_SHARE >= F.col("_t"))
+        .where((F.col("_w") > 0) & (F.col("_w") * HOT_SHARE >= F.col("_t")))
         .select(*keys, F.ceil(F.col("_w") * FAN_OUT / F.col("_t")).cast("int").alias("_salts"))
     )
     hashed = [F.col(f"`{f.name}`") for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
