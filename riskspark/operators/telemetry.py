@@ -198,21 +198,108 @@ def histogram_quantile(
 def counter_delta(
     before: DataFrame, after: DataFrame, keys: Sequence[str], value: str = "value"
 ) -> DataFrame:
-    """After minus before per series; a series that was not there before counted from 0."""
+    """After minus before per series; a series that was not there before counted from 0.
+
+    A counter that is smaller than before was restarted and has counted from 0 since.
+    """
     old = before.select(*keys, F.col(value).alias("_old"))
     match = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
     joined = after.alias("a").join(old.alias("b"), match, "left")
-    delta = F.col(f"a.`{value}`") - F.coalesce("b._old", F.lit(0))
+    delta = _grown(F.col(f"a.`{value}`"), F.coalesce("b._old", F.lit(0)))
     return joined.select(*[F.col(f"a.`{k}`") for k in keys], delta.alias("delta"))
 
 
+def _grown(value: Column, before: Column) -> Column:
+    return F.when(value < before, value).otherwise(value - before)
+
+
+def _with_growth(
+    scrapes: DataFrame, keys: Sequence[str], ts: str, value: str, first: Column | None, bucket: int
+) -> DataFrame:
+    """Scrapes with ``_bucket``, and ``_growth`` since the scrape before; ``first`` is that of the first one.
+
+    A series is cut into time buckets; what the bucket before ended with comes from one row per
+    bucket, so a series of any length spreads over as many tasks as it has buckets.
+    """
+    known = scrapes.where(F.col(value).isNotNull() & F.col(ts).isNotNull())
+    rows = known.withColumn("_bucket", F.floor(F.unix_timestamp(ts) / bucket))
+    ends = rows.groupBy(*keys, "_bucket").agg(F.max_by(value, ts).alias("_end"))
+    in_order = Window.partitionBy(*keys).orderBy("_bucket")
+    ends = ends.withColumn("_carried", F.lag("_end").over(in_order)).drop("_end")
+    match = [F.col(f"r.`{k}`").eqNullSafe(F.col(f"e.`{k}`")) for k in [*keys, "_bucket"]]
+    joined = rows.alias("r").join(ends.alias("e"), match).select("r.*", "e._carried")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(ts)
+    before = F.coalesce(F.lag(value).over(inside), F.col("_carried"))
+    growth = F.when(before.isNull(), F.col(value) if first is None else first)
+    return joined.withColumn("_growth", growth.otherwise(_grown(F.col(value), before))).drop("_carried")
+
+
 def counter_increase(
-    scrapes: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value"
+    scrapes: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value", bucket_seconds: int = 86_400
 ) -> DataFrame:
-    """Growth since the previous scrape of each series, for many scrapes."""
-    order = Window.partitionBy(*keys).orderBy(ts)
-    last = F.coalesce(F.lag(value).over(order), F.lit(0))
-    return scrapes.select(*keys, ts, (F.col(value) - last).alias("delta"))
+    """(keys..., ts, delta): growth since the previous scrape of each series, for many scrapes.
+
+    The first scrape counts from 0, and so does one with a smaller value than before: the
+    process was restarted. Missing scrapes and NULL values only make a step longer.
+    """
+    grown = _with_growth(scrapes, keys, ts, value, None, bucket_seconds)
+    return grown.select(*keys, ts, F.col("_growth").alias("delta"))
+
+
+def counter_rates(
+    scrapes: DataFrame,
+    keys: Sequence[str],
+    window_seconds: int = 300,
+    ts: str = "ts",
+    value: str = "value",
+    bucket_seconds: int = 86_400,
+) -> DataFrame:
+    """(keys..., ts, total, increase, per_second, scrapes) at every scrape.
+
+    ``total`` is the running increase since the first scrape, restarts included. ``increase`` is its
+    growth since the first scrape of the window (ts - window_seconds, ts], ``per_second`` that over
+    the time between the two, NULL where the window holds only one scrape. Whole seconds count.
+
+    Totals are prefix sums inside time buckets, shifted by the sums of the buckets before; a
+    window that reaches back into the bucket before finds that bucket's last rows repeated.
+    """
+    if window_seconds > bucket_seconds:
+        raise ValueError("a window is no longer than a bucket")
+    grown = _with_growth(scrapes, keys, ts, value, F.lit(0), bucket_seconds)
+    sums = grown.groupBy(*keys, "_bucket").agg(F.sum("_growth").alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    summed = grown.withColumn("_in", F.sum("_growth").over(inside))
+    match = [F.col(f"r.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in [*keys, "_bucket"]]
+    totals = summed.alias("r").join(sums.alias("s"), match).select(
+        *[F.col(f"r.`{k}`") for k in keys],
+        F.col(f"r.`{ts}`").alias(ts),
+        "r._bucket",
+        F.unix_timestamp(f"r.{ts}").alias("_at"),
+        (F.col("_in") + F.col("_before")).alias("total"),
+    )
+    left = (F.col("_bucket") + 1) * bucket_seconds - F.col("_at")
+    both = totals.withColumn(
+        "_seen_in",
+        F.explode(F.when(left < window_seconds, F.array(F.col("_bucket"), F.col("_bucket") + 1)).otherwise(F.array("_bucket"))),
+    )
+    window = Window.partitionBy(*keys, "_seen_in").orderBy("_at").rangeBetween(-(window_seconds - 1), 0)
+    rows = both.select(
+        "*",
+        F.first("total").over(window).alias("_first"),
+        F.first("_at").over(window).alias("_since"),
+        F.count(F.lit(1)).over(window).alias("scrapes"),
+    ).where(F.col("_seen_in") == F.col("_bucket"))
+    increase = F.col("total") - F.col("_first")
+    return rows.select(
+        *keys,
+        ts,
+        "total",
+        increase.alias("increase"),
+        F.try_divide(increase.cast("double"), (F.col("_at") - F.col("_since")).cast("double")).alias("per_second"),
+        "scrapes",
+    )
 
 
 def stage_breakdown(

@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 
 from riskspark.functions import normalize_label
 from riskspark.operators.models import fit_logistic
+from riskspark.operators.sketches import sketch_windows
 from riskspark.plans.adapter import SPLIT, appointments, requests
 from riskspark.plans.queries.base import CLEAN, REQ, query, r6, rows, stamp
 from riskspark.plans.queries.drifting import FEEDBACK_ROWS, prediction_and_outcome_logs
 from riskspark.plans.queries.sourcing import HOURS
+from riskspark.plans.queries.telemetry import rolled_up, rolled_up_sql
 from riskspark.plans.queries.validating import REQUESTS, request_rows
 from riskspark.plans.training import Scorer, prepare, scorer
 from riskspark.session import configure, materialize, shared_dir
@@ -107,6 +109,19 @@ def streamed_service_windows(spark, sf_dir):
     return r6(found.select("window_start", "per_second", "error_rate"), "per_second", "error_rate")
 
 
+_DAYS_CLOSED = "ts < (SELECT date_trunc('day', max(ts) - INTERVAL 10 MINUTE) FROM req)"
+
+
+@query("streamed_quantiles_rolled_up", f"WITH {REQ} {rolled_up_sql(_DAYS_CLOSED)}")
+def streamed_quantiles_rolled_up(spark, sf_dir):
+    """Hours and days from the five-minute sketches that a stream has left, up to the last closed day."""
+    log = requests(spark, sf_dir)
+    stream = sketch_windows(landed(log, "requests"), "latency_ms", by=["path"], late="10 minutes")
+    kept = finished(stream, "sketches")
+    closed = F.lit(log.agg(F.date_trunc("day", F.max("ts") - F.expr("INTERVAL 10 MINUTES"))).first()[0])
+    return rolled_up(log.where(F.col("ts") < closed), kept.where(F.col("window_start") < closed))
+
+
 @query("streamed_feedback", f"WITH {FEEDBACK_ROWS}")
 def streamed_feedback(spark, sf_dir):
     """Prediction log and outcomes as two streams, every outcome matched."""

@@ -3,10 +3,12 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from riskspark.operators import sketches as K
 from riskspark.operators import telemetry as T
 from riskspark.plans.adapter import requests
 from riskspark.plans.queries.base import REQ, query, r6, stamp
 from riskspark.plans.queries.sourcing import HOURS, RUNS, runs
+from riskspark.session import materialize
 
 _AT = "strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start"
 _FIVE = "time_bucket(INTERVAL 5 MINUTE, ts)"
@@ -159,6 +161,84 @@ def counter_increase(spark, sf_dir):
     return stamp(T.counter_increase(scrapes, ["path"]), "ts")
 
 
+RESTARTED = f"""{REQ}, s AS (SELECT path, caller % 5 AS server, date_trunc('minute', ts) AS ts, max(request_id) AS any_id, count(*) AS n
+      FROM req GROUP BY 1, 2, 3),
+    lives AS (SELECT *, CAST(floor(epoch(ts) / 400000) AS BIGINT) AS life FROM s),
+    scrapes AS (SELECT path, server, ts, CAST(sum(n) OVER (PARTITION BY path, server, life ORDER BY ts) AS BIGINT) AS value, any_id FROM lives)"""
+
+
+def restarted_scrapes(spark, sf_dir):
+    """A request counter per path and server, scraped at its busy minutes; servers restart every 400,000 s.
+
+    Every seventh scrape is missing.
+    """
+    minutes = requests(spark, sf_dir).groupBy(
+        "path", (F.col("caller") % 5).alias("server"), F.date_trunc("minute", "ts").alias("ts")
+    ).agg(F.max("request_id").alias("any_id"), F.count(F.lit(1)).alias("n"))
+    life = Window.partitionBy("path", "server", F.floor(F.unix_timestamp("ts") / 400_000)).orderBy("ts")
+    return minutes.select("path", "server", "ts", F.sum("n").over(life).alias("value"), "any_id").where("any_id % 7 <> 0")
+
+
+@query(
+    "counter_rates",
+    f"""WITH {RESTARTED}, g AS (SELECT path, server, ts, CAST(floor(epoch(ts)) AS BIGINT) AS sec,
+        CASE WHEN lag(value) OVER w IS NULL THEN 0 WHEN value < lag(value) OVER w THEN value ELSE value - lag(value) OVER w END AS growth
+      FROM scrapes WHERE any_id % 7 <> 0 WINDOW w AS (PARTITION BY path, server ORDER BY ts)),
+    t AS (SELECT *, sum(growth) OVER (PARTITION BY path, server ORDER BY sec) AS total FROM g),
+    r AS (SELECT *, first_value(total) OVER w AS before, first_value(sec) OVER w AS since, count(*) OVER w AS scrapes FROM t
+      WINDOW w AS (PARTITION BY path, server ORDER BY sec RANGE BETWEEN 14399 PRECEDING AND CURRENT ROW))
+    SELECT path, server, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(total AS BIGINT) AS total,
+      CAST(total - before AS BIGINT) AS increase, round((total - before) / CAST(nullif(sec - since, 0) AS DOUBLE), 9) AS per_second, scrapes FROM r""",
+)
+def counter_rates(spark, sf_dir):
+    """Growth and rate over four hours at every scrape, over restarts and missing scrapes."""
+    found = T.counter_rates(restarted_scrapes(spark, sf_dir), ["path", "server"], 14_400)
+    return stamp(found, "ts").withColumn("per_second", F.round("per_second", 9))
+
+
+@query(
+    "counter_increase_with_restarts",
+    f"""WITH {RESTARTED}, d AS (SELECT path, server, ts, value, lag(value) OVER (PARTITION BY path, server ORDER BY ts) AS before
+      FROM scrapes WHERE any_id % 7 <> 0)
+    SELECT path, server, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+      CAST(CASE WHEN before IS NULL OR value < before THEN value ELSE value - before END AS BIGINT) AS delta FROM d""",
+)
+def counter_increase_with_restarts(spark, sf_dir):
+    return stamp(T.counter_increase(restarted_scrapes(spark, sf_dir), ["path", "server"]), "ts")
+
+
+PROBS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def rolled_up_sql(where: str = "TRUE") -> str:
+    return f"""SELECT level, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, path, count(*) AS rows, round(min(latency_ms), 6) AS low,
+      round(max(latency_ms), 6) AS high, TRUE AS p50_near, TRUE AS p95_near, TRUE AS p99_near
+    FROM (SELECT 'hour' AS level, date_trunc('hour', ts) AS w, * FROM req WHERE {where}
+      UNION ALL SELECT 'day', date_trunc('day', ts), * FROM req WHERE {where}) GROUP BY 1, 2, 3"""
+
+
+def rolled_up(log, kept):
+    """Hours and days from kept five-minute sketches, and whether each quantile's rank lies within the bound.
+
+    A rank can only be met up to half a row, whatever the sketch.
+    """
+    out = []
+    for level, length in (("hour", "1 hour"), ("day", "1 day")):
+        rolled = K.sketch_quantiles(K.roll_up(kept, length, ["path"]), PROBS)
+        errors = K.rank_errors(log, rolled, "latency_ms", PROBS, length, by=["path"])
+        near = [(F.col(f"{p}_error") <= K.RANK_ERROR + 0.5 / F.col("rows")).alias(f"{p}_near") for p in PROBS]
+        joined = errors.join(rolled.select("window_start", "path", "n", "low", "high"), ["window_start", "path"])
+        out.append(joined.select(F.lit(level).alias("level"), "window_start", "path", F.col("n").alias("rows"), "low", "high", *near))
+    return r6(stamp(out[0].unionByName(out[1]), "window_start"), "low", "high")
+
+
+@query("latency_quantiles_rolled_up", f"WITH {REQ} {rolled_up_sql()}")
+def latency_quantiles_rolled_up(spark, sf_dir):
+    """Latency quantiles of hours and days per path from five-minute sketches, without the log."""
+    log = requests(spark, sf_dir)
+    return rolled_up(log, materialize(K.sketch_windows(log, "latency_ms", by=["path"]), "sketches"))
+
+
 STAGES = ["click", "purchase", "signup", "view"]
 
 
