@@ -104,22 +104,27 @@ def psi_of_counts(counts: DataFrame, columns: Sequence[str], bins: int = 10) ->
         )
         .agg(*[F.sum(s).alias(s) for s in SIDES])
     )
-    totals = binned.groupBy("feature", "numeric").agg(
-        *[F.sum(s).alias(f"all_{s}") for s in SIDES]
+    found = psi_of_bins(binned)
+    return literal_rows(counts, columns, "feature").join(found, "feature", "left").select(
+        "feature", F.coalesce("psi", F.lit(0.0)).alias("psi")
     )
+
+
+def psi_of_bins(binned: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., feature, psi) from (by..., feature, numeric, bin, ref, cur).
+
+    A numeric column without values on one side has no row.
+    """
+    keys = [*by, "feature"]
+    totals = binned.groupBy(*keys, "numeric").agg(*[F.sum(s).alias(f"all_{s}") for s in SIDES])
     totals = totals.where("NOT numeric OR (all_ref > 0 AND all_cur > 0)").drop("numeric")
     expected, actual = [
         F.greatest(F.col(s) / F.greatest(F.col(f"all_{s}"), F.lit(1)), F.lit(EPSILON))
         for s in SIDES
     ]
-    found = (
-        binned.join(F.broadcast(totals), "feature")
-        .groupBy("feature")
-        .agg(F.sum((actual - expected) * F.log(actual / expected)).alias("psi"))
-    )
-    return literal_rows(counts, columns, "feature").join(found, "feature", "left").select(
-        "feature", F.coalesce("psi", F.lit(0.0)).alias("psi")
-    )
+    # One row per column of the table, and per group where there are any.
+    found = binned.join(totals if by else F.broadcast(totals), keys)
+    return found.groupBy(*keys).agg(F.sum((actual - expected) * F.log(actual / expected)).alias("psi"))
 
 
 def psi_numeric(

@@ -6,6 +6,7 @@ from riskspark.functions import normalize_label
 from riskspark.operators import drift as D
 from riskspark.operators.clean import split_part, with_target
 from riskspark.operators.features import monitoring_features, numeric_features
+from riskspark.operators.reference import binned_counts, fit_profile, psi_from_profile, psi_of_profile, read_profile, write_profile
 from riskspark.plans.adapter import SPLIT, appointments, table
 from riskspark.plans.monitoring import monitoring_report
 from riskspark.plans.queries.base import CLEAN, curve_sql, query, r6, rows, stamp
@@ -101,6 +102,69 @@ def psi_categorical(spark, sf_dir):
     return r6(D.psi_categorical(ref, cur, ["gender", "neighbourhood"]), "psi")
 
 
+def kept_profile(spark, ref, numeric, text):
+    """Two stored versions of the profile, of which the second is read back."""
+    path = shared_dir(spark, "profiles")
+    write_profile(fit_profile(ref.limit(0), numeric, text, "1"), path)
+    write_profile(fit_profile(ref, numeric, text, "2"), path)
+    return read_profile(spark, path, "2")
+
+
+@query("psi_from_profile", f"WITH {numeric_psi_sql(shifted=True)} SELECT feature, round(psi, 6) AS psi FROM psi")
+def psi_from_kept_profile(spark, sf_dir):
+    """Shifted test rows against the stored bins of the train part."""
+    ref, cur = (monitoring_features(s) for s in sides(spark, sf_dir, shifted=True))
+    numeric = numeric_features(ref)
+    return r6(psi_from_profile(kept_profile(spark, ref, numeric, []), cur.select(numeric)), "psi")
+
+
+@query("psi_categorical_from_profile", f"WITH {TEXT_PSI} SELECT feature, round(psi, 6) AS psi FROM psi")
+def psi_categorical_from_profile(spark, sf_dir):
+    ref, cur = _text_sides(spark, sf_dir)
+    text = ["gender", "neighbourhood"]
+    return r6(psi_from_profile(kept_profile(spark, ref, [], text), cur.select(text)), "psi")
+
+
+QUARTERS = ["age", "lead_time_days"]
+QUARTERS_SQL = f"""{CLEAN},
+  cells AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({_NUMERIC[c]} AS DOUBLE) AS v, split, date_trunc('quarter', appointment_day) AS w FROM cleaned" for c in QUARTERS)}),
+  q AS (SELECT feature, list_distinct(quantile_cont(v, [{", ".join(repr(i * 0.1) for i in range(11))}])) AS es FROM cells WHERE split = 'train' GROUP BY 1),
+  edges AS (SELECT feature, unnest(es) AS e FROM q),
+  inner_edges AS (SELECT feature, e FROM edges QUALIFY e > min(e) OVER (PARTITION BY feature) AND e < max(e) OVER (PARTITION BY feature)),
+  vals AS (SELECT feature, v, split, w, count(*) AS n FROM cells GROUP BY ALL),
+  placed AS (SELECT vals.feature, v, split, w, max(n) AS n, count(e) AS bin FROM vals
+    LEFT JOIN inner_edges i ON i.feature = vals.feature AND i.e <= v GROUP BY 1, 2, 3, 4),
+  ref AS (SELECT feature, bin, sum(n) AS ref FROM placed WHERE split = 'train' GROUP BY 1, 2),
+  cur AS (SELECT feature, w, bin, sum(n) AS cur FROM placed WHERE split <> 'train' GROUP BY 1, 2, 3),
+  spans AS (SELECT DISTINCT w FROM cur),
+  both_sides AS (SELECT feature, w, bin, sum(ref) AS ref, sum(cur) AS cur FROM (
+    SELECT feature, w, bin, ref, 0 AS cur FROM ref, spans UNION ALL SELECT feature, w, bin, 0, cur FROM cur) GROUP BY 1, 2, 3),
+  psi AS (SELECT feature, w, sum((a - e) * ln(a / e)) AS psi FROM (SELECT feature, w,
+      greatest(ref / CAST(sum(ref) OVER p AS DOUBLE), 1e-6) AS e, greatest(cur / CAST(sum(cur) OVER p AS DOUBLE), 1e-6) AS a
+    FROM both_sides WINDOW p AS (PARTITION BY feature, w)) GROUP BY 1, 2)"""
+
+
+@query(
+    "psi_by_quarter",
+    f"WITH {QUARTERS_SQL} SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS quarter, feature, round(psi, 6) AS psi FROM psi",
+)
+def psi_by_quarter(spark, sf_dir):
+    """Each later quarter against the stored profile of the train part."""
+    profile, later = _quarters(spark, sf_dir)
+    counts = binned_counts(profile, later.select("quarter", *QUARTERS), [F.col("quarter")])
+    return r6(stamp(psi_of_profile(profile, counts, ["quarter"]), "quarter"), "psi")
+
+
+def _quarters(spark, sf_dir):
+    """The stored profile, and later rows with their quarter."""
+    cleaned = rows(spark, sf_dir)
+    day = F.date_trunc("quarter", "appointment_day").alias("quarter")
+    lead = F.datediff("appointment_day", "scheduled_day").cast("double").alias("lead_time_days")
+    measured = cleaned.select("split", day, F.col("age").cast("double").alias("age"), lead, F.col("appointment_day").alias("at"))
+    profile = kept_profile(spark, measured.where("split = 'train'"), QUARTERS, [])
+    return profile, measured.where("split <> 'train'")
+
+
 @query(
     "drift_summary",
     f"""WITH {numeric_psi_sql(shifted=True)}, p AS (SELECT feature, round(psi, 6) AS psi FROM psi)

@@ -7,15 +7,16 @@ from riskspark.functions import normalize_label
 from riskspark.operators.models import fit_logistic
 from riskspark.operators.sketches import sketch_windows
 from riskspark.plans.adapter import SPLIT, appointments, requests
-from riskspark.plans.queries.base import CLEAN, REQ, query, r6, rows, stamp
-from riskspark.plans.queries.drifting import FEEDBACK_ROWS, prediction_and_outcome_logs
+from riskspark.plans.queries.base import APPT, CLEAN, REQ, query, r6, rows, stamp
+from riskspark.operators.reference import binned_counts, psi_of_profile
+from riskspark.plans.queries.drifting import FEEDBACK_ROWS, QUARTERS, QUARTERS_SQL, _quarters, prediction_and_outcome_logs
 from riskspark.plans.queries.sourcing import HOURS
 from riskspark.plans.queries.telemetry import rolled_up, rolled_up_sql
 from riskspark.plans.queries.validating import REQUESTS, request_rows
 from riskspark.plans.training import Scorer, prepare, scorer
 from riskspark.session import configure, materialize, shared_dir
 from riskspark.sources.readers import read_request_stream
-from riskspark.streaming.feedback import feedback_stream
+from riskspark.streaming.feedback import feedback_stream, label_supply, labels_stream
 from riskspark.streaming.history import history_stream
 from riskspark.streaming.scoring import Champion, score_stream, score_table
 from riskspark.streaming.stateful import held_alerts_stream, keyed_state, spells, watchdog_stream
@@ -37,11 +38,12 @@ def landed(df, purpose):
     return read_request_stream(df.sparkSession, path, df.schema)
 
 
-def arriving(spark, tables, stream_of, purpose):
+def arriving(spark, tables, stream_of, purpose, progress=None):
     """Land each table's slices one round after another, running the stream to its end after each.
 
     ``tables`` maps a name to the slices of that table; ``stream_of`` makes the stream from
-    the streams of the tables. Every round is a restart from the checkpoint.
+    the streams of the tables. Every round is a restart from the checkpoint. ``progress`` gets the
+    last progress of each round.
     """
     inboxes = {name: shared_dir(spark, f"{purpose}-{name}") for name in tables}
     path, checkpoint = shared_dir(spark, purpose), shared_dir(spark, f"{purpose}-checkpoint")
@@ -51,7 +53,10 @@ def arriving(spark, tables, stream_of, purpose):
                 rows_of.write.mode("append").parquet(inboxes[name])
             schemas = {name: parts[0].schema for name, parts in tables.items()}
             stream = stream_of(**{n: read_request_stream(spark, inboxes[n], schemas[n]) for n in tables})
-            append_to_table(stream, path, checkpoint).awaitTermination()
+            run = append_to_table(stream, path, checkpoint)
+            run.awaitTermination()
+            if progress is not None:
+                progress.append(run.lastProgress)
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -124,7 +129,7 @@ def streamed_quantiles_rolled_up(spark, sf_dir):
 
 @query("streamed_feedback", f"WITH {FEEDBACK_ROWS}")
 def streamed_feedback(spark, sf_dir):
-    """Prediction log and outcomes as two streams, every outcome matched."""
+    """Prediction log and outcomes as two streams, matched up to 60 days; none of these outcomes is later."""
     predictions, outcomes = prediction_and_outcome_logs(spark, sf_dir)
     joined = feedback_stream(
         landed(predictions, "predictions"),
@@ -132,6 +137,7 @@ def streamed_feedback(spark, sf_dir):
         "appointment_id",
         "predicted_at",
         "known_at",
+        max_lag="60 days",
     )
     label = normalize_label(F.col("no_show")).alias("label")
     found = stamp(finished(joined, "feedback"), "known_at")
@@ -239,7 +245,7 @@ def _rounds(df, at, days):
     )
 
 
-DAYS = ("1994-05-01", "1996-09-01")
+DAYS = ("1997-03-01", "1999-06-01")
 
 
 def _grown(spark, sf_dir, requests_of):
@@ -338,3 +344,72 @@ def streamed_silences(spark, sf_dir):
     )
     found = spells(states, ["path", "shard"], "silent", "back")
     return stamp(found.toDF("path", "shard", "last_seen", "silent_at", "back_at"), "last_seen", "silent_at", "back_at")
+
+
+LAGGED = f"""{APPT}, out AS (SELECT appointment_id, no_show, appointment_day + INTERVAL 12 HOUR AS known_at FROM appt WHERE appointment_id % 10 <> 0),
+    states AS (SELECT p.appointment_id, p.scheduled_day AS predicted_at, o.known_at, CASE WHEN o.appointment_id IS NULL THEN 'expired' ELSE 'labeled' END AS label_state
+      FROM appt p LEFT JOIN out o ON p.appointment_id = o.appointment_id AND o.known_at >= p.scheduled_day
+        AND o.known_at <= p.scheduled_day + INTERVAL 20 DAY)"""
+
+
+def label_states(spark, sf_dir):
+    """Predictions with outcomes that come within 20 days; those of every tenth never come, others too late."""
+    predictions, outcomes = prediction_and_outcome_logs(spark, sf_dir)
+    outcomes = outcomes.where("appointment_id % 10 <> 0")
+    # Rows that only say how late it is, one per stream, after all others. They need a key: rows
+    # without one are left out before the watermark sees them.
+    late = F.lit("2010-01-01").cast("timestamp")
+
+    def with_tick(df, at):
+        key = F.lit(-1).cast("long").alias("appointment_id")
+        others = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name not in (at, "appointment_id")]
+        return df.unionByName(spark.range(1).select(late.alias(at), key, *others))
+
+    slices = {
+        "predictions": _rounds(with_tick(predictions, "predicted_at"), "predicted_at", DAYS),
+        "outcomes": _rounds(with_tick(outcomes, "known_at"), "known_at", DAYS),
+    }
+
+    def joined(predictions, outcomes):
+        return labels_stream(predictions, outcomes, "appointment_id", "predicted_at", "known_at", "20 days")
+
+    return arriving(spark, slices, joined, "labels").where("appointment_id >= 0")
+
+
+@query(
+    "streamed_label_states",
+    f"""WITH {LAGGED} SELECT appointment_id, label_state, strftime(known_at, '%Y-%m-%d %H:%M:%S') AS known_at FROM states""",
+)
+def streamed_label_states(spark, sf_dir):
+    """Every prediction once: labelled, or expired because no outcome came within 20 days."""
+    return stamp(label_states(spark, sf_dir), "known_at").select("appointment_id", "label_state", "known_at")
+
+
+@query(
+    "label_supply",
+    f"""WITH {LAGGED}, m AS (SELECT time_bucket(INTERVAL 30 DAY, predicted_at, TIMESTAMP '1970-01-01') AS w, count(*) AS predictions,
+        count(*) FILTER (WHERE label_state = 'labeled') AS labeled FROM states GROUP BY 1)
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, predictions, labeled, predictions - labeled AS expired,
+      CASE WHEN labeled >= 200 THEN 'enough_labels' ELSE 'not_enough_labels' END AS label_state,
+      CASE WHEN labeled >= 200 THEN 'OK' ELSE 'WAIT_FOR_LABELS' END AS action FROM m""",
+)
+def streamed_label_supply(spark, sf_dir):
+    """What thirty days of predictions have got in labels, and whether to wait for more."""
+    return stamp(label_supply(label_states(spark, sf_dir), "predicted_at", "30 days"), "window_start")
+
+
+@query(
+    "streamed_psi_by_quarter",
+    f"""WITH {QUARTERS_SQL} SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS quarter, feature, round(psi, 6) AS psi FROM psi
+    WHERE w < (SELECT max(w) FROM psi)""",
+)
+def streamed_psi_by_quarter(spark, sf_dir):
+    """Bins are counted as a stream against the stored profile; quarters count when the next has begun."""
+    profile, later = _quarters(spark, sf_dir)
+    stream = landed(later.select("at", *QUARTERS), "measured").withWatermark("at", "1 day")
+    days = F.window("at", "1 day")
+    counts = finished(binned_counts(profile, stream, [days.alias("day")]).select("day.start", "feature", "bin", "cur"), "bins")
+    by_quarter = counts.groupBy(F.date_trunc("quarter", "start").alias("quarter"), "feature", "bin").agg(F.sum("cur").alias("cur"))
+    last = later.agg(F.max("quarter")).first()[0]
+    found = psi_of_profile(profile, by_quarter.where(F.col("quarter") < F.lit(last)), ["quarter"])
+    return r6(stamp(found, "quarter"), "psi")
