@@ -11,6 +11,7 @@ from riskspark.operators.features import (
     monitoring_features,
 )
 from riskspark.operators.history import asof_history, fit_history
+from riskspark.operators.history_store import HistoryStore
 from riskspark.plans.adapter import SPLIT, appointments
 from riskspark.plans.queries.base import APPT, CLEAN, HISTORY, query, r6, rows
 from riskspark.schema import ROLES
@@ -59,6 +60,26 @@ def asof_patient_history(spark, sf_dir):
     return r6(found, "previous_miss_rate")
 
 
+@query(
+    "asof_history_from_deltas",
+    f"""WITH {HISTORY} SELECT appointment_id, split, CAST(prev_n AS DOUBLE) AS previous_appointments,
+      round(CASE WHEN prev_n = 0 THEN 0 ELSE prev_k / CAST(prev_n AS DOUBLE) END, 6) AS previous_miss_rate
+    FROM known""",
+)
+def asof_history_from_deltas(spark, sf_dir):
+    """The train part as a base and three deltas, compacted once, in a bucketed table."""
+    cleaned = rows(spark, sf_dir).select("appointment_id", "patient_id", "scheduled_day", "appointment_day", "split", "target")
+    store = HistoryStore(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    train = split_part(cleaned, "train", SPLIT)
+    for year in (1995, 1996, 1997, None):
+        of_year = F.year("appointment_day")
+        store.append(train.where((of_year > 1997) if year is None else (of_year <= 1995) if year == 1995 else (of_year == year)))
+        if year == 1996:
+            store.compact()
+    found = store.asof(cleaned).select("appointment_id", "split", "previous_appointments", "previous_miss_rate")
+    return r6(found, "previous_miss_rate")
+
+
 @query(
     "asof_history_by_split",
     f"""WITH {HISTORY} SELECT split, count(*) AS n, CAST(sum(prev_n) AS DOUBLE) AS appointments,

@@ -2,6 +2,7 @@
 read as a stream until its end, and the written results are read back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from riskspark.functions import normalize_label
 from riskspark.operators.models import fit_logistic
@@ -18,7 +19,8 @@ from riskspark.session import configure, materialize, shared_dir
 from riskspark.sources.readers import read_request_stream
 from riskspark.streaming.feedback import feedback_stream, label_supply, labels_stream
 from riskspark.streaming.history import history_stream
-from riskspark.streaming.scoring import Champion, score_stream, score_table
+from riskspark.schema import PREDICTION_SCHEMA
+from riskspark.streaming.scoring import Champion, Log, score_stream, score_stream_once, score_table
 from riskspark.streaming.stateful import held_alerts_stream, keyed_state, spells, watchdog_stream
 from riskspark.streaming.telemetry import (
     alerts_per_window_stream,
@@ -413,3 +415,32 @@ def streamed_psi_by_quarter(spark, sf_dir):
     last = later.agg(F.max("quarter")).first()[0]
     found = psi_of_profile(profile, by_quarter.where(F.col("quarter") < F.lit(last)), ["quarter"])
     return r6(stamp(found, "quarter"), "psi")
+
+
+@query(
+    "scores_published_once",
+    f"""WITH {REQUESTS}, bad AS (SELECT DISTINCT row_id FROM reasons)
+    SELECT (SELECT count(*) FROM dirty) - (SELECT count(*) FROM bad) AS scored,
+      (SELECT count(*) FROM dirty) - (SELECT count(*) FROM bad) AS requests_scored, (SELECT count(*) FROM bad) AS refused""",
+)
+def scores_published_once(spark, sf_dir):
+    """Every fifth request is sent twice, in one round or in two; rows and distinct requests in what is published."""
+    source = request_rows(configure(spark), sf_dir).withColumn("received_at", F.lit("2024-01-01").cast("timestamp"))
+    champion, _ = _champion(spark, sf_dir, shared_dir(spark, "alias-log"))
+    log, inbox = Log(spark, shared_dir(spark, "published")), shared_dir(spark, "inbox")
+    checkpoint = shared_dir(spark, "once-checkpoint")
+    again = source.where("request_id % 5 = 0")
+    first, second = source.where("request_id % 3 = 0"), source.where("request_id % 3 <> 0")
+    for part in (first.unionByName(again.where("request_id % 3 = 0 AND request_id % 2 = 0")), second.unionByName(again.where("request_id % 2 = 1"))):
+        part.write.mode("append").parquet(inbox)
+        stream = read_request_stream(spark, inbox, source.schema)
+        with keyed_state(spark):
+            score_stream_once(stream, champion, log, checkpoint).awaitTermination()
+    kept = StructType([StructField("request_id", source.schema["request_id"].dataType), *PREDICTION_SCHEMA.fields])
+    scored = log.read("predictions", kept)
+    refused = log.read("quarantine", StructType([kept["request_id"]]))
+    return scored.agg(
+        F.count(F.lit(1)).alias("scored"),
+        F.countDistinct("request_id").alias("requests_scored"),
+        F.max(refused.agg(F.count(F.lit(1))).scalar()).alias("refused"),
+    )

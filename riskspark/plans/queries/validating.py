@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators.clean import time_split
 from riskspark.operators.profile import split_sizes
+from riskspark.operators.registry import KeyRegistry
 from riskspark.operators.validate import (
     check_split,
     check_split_sizes,
@@ -19,6 +20,7 @@ from riskspark.operators.validate import (
 from riskspark.plans.adapter import SPLIT, appointments
 from riskspark.plans.queries.base import APPT, CLEAN, query, rows
 from riskspark.schema import REQUEST_FIELDS, TABLE_FIELDS
+from riskspark.session import shared_dir
 from riskspark.streaming.scoring import judge
 
 
@@ -201,3 +203,58 @@ def split_size_check(spark, sf_dir):
     return check_split_sizes(split_sizes(raw), split_sizes(rows(spark, sf_dir)))
 
 
+
+
+LOADS = """loads AS (SELECT CAST(1 + o_orderkey % 4 AS INTEGER) AS load,
+    CASE WHEN o_orderkey % 97 IN (1, 2) THEN o_orderkey - 1 WHEN o_orderkey % 113 <> 0 THEN o_orderkey END AS appointment_id FROM orders)"""
+
+
+def loads(spark, sf_dir):
+    """The appointments in four loads; some keys come again in a later one, some are NULL."""
+    df = appointments(spark, sf_dir, place=False)
+    key = F.col("appointment_id")
+    again = F.when((key % 97).isin(1, 2), key - 1).when(key % 113 != 0, key)
+    keyed = df.select((1 + key % 4).cast("int").alias("load"), again.alias("appointment_id"))
+    return [keyed.where(F.col("load") == n).select("appointment_id") for n in (1, 2, 3, 4)]
+
+
+def _registry(spark):
+    return KeyRegistry(spark, shared_dir(spark, "key-registry"), "appointment_id", "bigint")
+
+
+@query(
+    "keys_loaded_before",
+    f"""WITH {LOADS}, k AS (SELECT DISTINCT load, appointment_id FROM loads WHERE appointment_id IS NOT NULL)
+    SELECT n.load, n.appointment_id, o.load AS earlier FROM k n JOIN k o ON o.appointment_id = n.appointment_id AND o.load < n.load
+    WHERE n.load < 4 UNION ALL
+    SELECT DISTINCT n.load, n.appointment_id, 4 FROM k n JOIN k o ON o.appointment_id = n.appointment_id AND o.load < n.load WHERE n.load = 4""",
+)
+def keys_loaded_before(spark, sf_dir):
+    """Keys that an earlier load has too; before the fourth the three others are compacted into one."""
+    registry, found = _registry(spark), []
+    for number, part in enumerate(loads(spark, sf_dir), 1):
+        if number == 4:
+            registry.compact()
+        again = registry.repeated(part)
+        found.append(again.select(F.lit(number).alias("load"), "appointment_id", F.col("load").alias("earlier")))
+        registry.add(part)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@query(
+    "key_filter_errors",
+    f"""WITH {LOADS}, k AS (SELECT DISTINCT load, appointment_id FROM loads WHERE appointment_id IS NOT NULL)
+    SELECT o.load, count(*) AS new_keys, TRUE AS rare FROM (SELECT DISTINCT load FROM k WHERE load < 4) o, k n
+    WHERE n.load = 4 AND NOT EXISTS (SELECT 1 FROM k x WHERE x.load = o.load AND x.appointment_id = n.appointment_id) GROUP BY 1""",
+)
+def key_filter_errors(spark, sf_dir):
+    """Of the keys that a load does not have, fewer than 2 % are looked up in vain."""
+    registry = _registry(spark)
+    *old, new = loads(spark, sf_dir)
+    for part in old:
+        registry.add(part)
+    found = registry.false_positives(new)
+    return found.select("load", "new_keys", (F.col("share") < 0.02).alias("rare"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from riskspark.operators.clean import normalize_request
 from riskspark.operators.gates import resolve_alias
@@ -102,6 +105,93 @@ def score_stream(
     )
 
 
+class Log:
+    """Predictions and refused requests of a stream, published batch by batch.
+
+    A batch writes both tables under a name of its own and is published by one small file that
+    appears by a rename, after them. Readers go by those files, so they see all of a batch or
+    nothing of it. A batch that comes again after it was published changes nothing; one that failed
+    before leaves files that nobody reads.
+    """
+
+    KINDS = ("predictions", "quarantine")
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _files(self):
+        jvm = self.spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits")
+        return jvm.org.apache.hadoop.fs.Path, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def published(self, batch: int) -> bool:
+        Path, files = self._files()
+        return files.exists(Path(f"{self.path}/commits/{batch}.json"))
+
+    def publish(self, batch: int, predictions: DataFrame, quarantine: DataFrame) -> None:
+        if self.published(batch):
+            return
+        attempt = uuid.uuid4().hex[:12]
+        for kind, rows in zip(self.KINDS, (predictions, quarantine), strict=True):
+            rows.write.parquet(f"{self.path}/{kind}/batch={batch}/attempt={attempt}")
+        self.commit(batch, attempt)
+
+    def commit(self, batch: int, attempt: str) -> None:
+        Path, files = self._files()
+        hidden = Path(f"{self.path}/commits/_{batch}-{attempt}")
+        out = files.create(hidden)
+        out.write(bytearray(json.dumps({"batch": batch, "attempt": attempt}) + "\n", "utf-8"))
+        out.close()
+        files.rename(hidden, Path(f"{self.path}/commits/{batch}.json"))
+
+    def read(self, kind: str, schema: StructType) -> DataFrame:
+        """All published rows of a kind, with their ``batch``."""
+        Path, files = self._files()
+        if not files.exists(Path(f"{self.path}/commits")):
+            return self.spark.createDataFrame([], schema).withColumn("batch", F.lit(None).cast("long"))
+        # One small row per batch; old batches can be moved to a table of their own.
+        known = self.spark.read.schema("batch long, attempt string").json(f"{self.path}/commits/*.json")
+        named = StructType([*schema.fields, StructField("batch", LongType()), StructField("attempt", StringType())])
+        every = self.spark.read.schema(named).option("basePath", f"{self.path}/{kind}").parquet(f"{self.path}/{kind}")
+        return every.join(F.broadcast(known), ["batch", "attempt"], "left_semi").select(*[f"`{f.name}`" for f in schema.fields], "batch")
+
+
+def score_stream_once(
+    requests: DataFrame,
+    champion: Champion,
+    log: Log,
+    checkpoint: str,
+    key: str = "request_id",
+    arrived: str = "received_at",
+    late: str = "1 hour",
+) -> StreamingQuery:
+    """Score every request once: ones that are sent again within ``late`` are dropped, batches publish whole.
+
+    Requests without a key are let through, as nothing tells them apart.
+    """
+    keep = (key, arrived)
+    marked = requests.withWatermark(arrived, late)
+    once = marked.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    rows = once.unionByName(marked.where(F.col(key).isNull()))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if log.published(batch_id):
+            return
+        judged = judge(batch, keep).persist()
+        try:
+            scored = champion.current().score(accepted_rows(judged, keep), keep)
+            log.publish(batch_id, scored, judged.where(F.size("reasons") > 0))
+        finally:
+            judged.unpersist()
+
+    return (
+        rows.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def score_table(requests: DataFrame, scorer: Scorer, keep: tuple[str, ...] = ("request_id",)):
     """The batch form: (predictions, quarantine)."""
     judged = judge(requests, keep)
