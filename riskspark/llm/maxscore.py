@@ -10,6 +10,7 @@ plus the bounds still to come reaches the score to beat.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 256
-# Components beyond this do not fit: 512 products of two such stay within 64 bits.
-LARGEST = 1 << 27
+# Shards whose scores might not fit in 64 bits are worked on with integers of any size.
+WIDEST = 1 << 62
 # Queries that are sent to every task at once.
 QUERY_BLOCK = 16_384
 # Vectors scored together; a shard for the score bounds.
@@ -29,24 +30,36 @@ PROBE = 8
 
 
 def integer_rows(ids: pa.Array, vectors: pa.Array, scale: int = SCALE) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and floor(scale * x) of the usable rows; shorter vectors are filled with zeros."""
+    """Ids and floor(scale * x) of the usable rows; shorter vectors are filled with zeros.
+
+    Components that do not fit in 64 bits come as Python integers. ``scale`` is a power of two.
+    """
     n = len(vectors)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros((0, 0), np.int64)
     lengths = np.asarray(pc.fill_null(pc.list_value_length(vectors), 0)).astype(np.int64)
-    values = np.asarray(pc.cast(vectors.flatten(), pa.float64()).fill_null(np.nan))
-    with np.errstate(invalid="ignore", over="ignore"):
-        values = np.floor(values * scale)
-        usable = np.abs(values) <= LARGEST
+    raw = np.asarray(pc.cast(vectors.flatten(), pa.float64()).fill_null(np.nan))
+    usable = np.isfinite(raw)
     row = np.repeat(np.arange(n), lengths)
     keep = np.asarray(vectors.is_valid()) & np.asarray(ids.is_valid())
     keep[row[~usable]] = False
-    out = np.zeros((n, int(lengths.max(initial=0))), np.int64)
+    own = usable & keep[row]
+    large = bool(len(raw)) and bool((np.abs(raw[own]) >= WIDEST / scale).any())
+    if large:
+        values = np.array([math.floor(v * scale) if abs(v) < 2.0**52 else int(v) * scale for v in raw[own].tolist()], object)
+    else:
+        values = np.floor(raw[own] * scale).astype(np.int64)
+    out = np.zeros((n, int(lengths.max(initial=0))), values.dtype)
     place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out[row[usable], place[usable]] = values[usable].astype(np.int64)
+    out[row[own], place[own]] = values
     return np.asarray(ids.fill_null(0)).astype(np.int64)[keep], out[keep]
 
 
+def _size(values: np.ndarray) -> int:
+    """The largest absolute value."""
+    return max(abs(int(values.max(initial=0))), abs(int(values.min(initial=0)))) if values.size else 0
+
+
 class Best:
     """The k best of each query so far: by falling score, then by id."""
 
@@ -64,6 +77,10 @@ class Best:
         other = ids != self.query_ids[q]
         scores = np.concatenate([self.found[q][0], scores[other]])
         ids = np.concatenate([self.found[q][1], ids[other]])
+        if scores.dtype == object:
+            order = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[: self.k]
+            self.found[q] = scores[order], ids[order]
+            return
         if len(scores) > 4 * self.k:  # a cheaper cut before the sort; ties at the edge stay
             edge = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
             scores, ids = scores[scores >= edge], ids[scores >= edge]
@@ -75,6 +92,8 @@ class Best:
         width = max(self.queries.shape[1], vectors.shape[1])
         queries = np.pad(self.queries, ((0, 0), (0, width - self.queries.shape[1])))
         vectors = np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
+        kind = object if width * _size(queries) * _size(vectors) >= WIDEST else np.int64
+        queries, vectors = queries.astype(kind), vectors.astype(kind)
         head = min(len(ids), 16 * self.k)
         columns = np.ascontiguousarray(vectors[head:].T)
         first = queries @ vectors[:head].T
@@ -89,7 +108,7 @@ class Best:
             terms = np.argsort(-bound, kind="stable")
             rest = np.append(np.cumsum(bound[terms][::-1])[::-1], 0)  # rest[j]: of terms j and later
             essential = width if goal is None else int(np.argmax(rest < goal)) if (rest < goal).any() else width
-            scores = np.zeros(columns.shape[1], np.int64)
+            scores = np.zeros(columns.shape[1], kind)
             met = np.full(columns.shape[1], goal is None or essential == width)
             for d in terms[:essential]:
                 part = query[d] * columns[d]
@@ -108,12 +127,14 @@ class Best:
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         counts = [len(s) for s, _ in self.found]
+        if any(_size(s) >= 2**63 for s, _ in self.found if s.dtype == object):
+            raise OverflowError("a score of the best does not fit in 64 bits")
         if sum(counts):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(self.query_ids, counts)),
                     pa.array(np.concatenate([i for _, i in self.found])),
-                    pa.array(np.concatenate([s for s, _ in self.found])),
+                    pa.array(np.concatenate([s for s, _ in self.found]).astype(np.int64)),
                 ],
                 names=["query_id", "vec_id", "score"],
             )
@@ -130,8 +151,9 @@ def top_k(
     """(query_id, rank, vec_id, score): the k best other vectors of each query vector.
 
     Components x count as floor(256 * x) and the score is the integer inner product; ties go
-    to the smaller id. Rows with a null id, a null vector, or a null, non-finite or too large
-    component (beyond 2**27 after scaling) take no part. Shorter vectors count as filled with
+    to the smaller id. Rows with a null id, a null vector, or a null or non-finite component take no
+    part. Components of any size count exactly; a score among the best that does not fit in 64 bits
+    raises OverflowError. Shorter vectors count as filled with
     zeros, an empty one as all zeros. A repeated query id asks once, by one of its rows; repeated
     candidate rows each count, but none that carries the query's id. With fewer than k others all
     are returned; an empty table gives an empty result. Other columns are ignored.
