@@ -13,6 +13,7 @@ from riskspark.llm import toxicity
 from riskspark.llm.common import join_rows, sent_if_few, table, written
 from riskspark.llm.decontaminate import find_overlaps
 from riskspark.llm.jaccard import near_duplicates
+from riskspark.llm.merkle import in_order
 from riskspark.llm.pieces import load
 from riskspark.llm.pii import sanitise
 from riskspark.llm.sampling import sample_encode
@@ -33,18 +34,29 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near copies: the one with the smallest id.
 
     Five-word n-grams, similarity 0.8. Rows with a null id and empty texts stay; of rows that
-    repeat id and text one stays.
+    repeat id and text one stays. Texts that share an id are documents of their own: where ids
+    repeat, groups are made of the places of (id, text) in their order, not of the ids.
     """
+    ids = docs.where(F.col("doc_id").isNotNull())
+    if not ids.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty():
+        return _drop_near_copies_by_place(docs)
     groups = near_duplicates(docs, size=5, percent=80)
     gone = written(groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "near-copies")
-    kept = docs.join(sent_if_few(gone), "doc_id", "left_anti").select(docs.columns)
-    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = written(repeated, "repeated-ids")
-    if repeated.isEmpty():
-        return kept
-    repeated = sent_if_few(repeated)
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+    return docs.join(sent_if_few(gone), "doc_id", "left_anti").select(docs.columns)
+
+
+def _drop_near_copies_by_place(docs: DataFrame) -> DataFrame:
+    marked = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("like"), "text"
+    )
+    each = marked.where(F.col("id").isNotNull()).select("id", "like").distinct()
+    places = written(in_order(written(each, "ids"), ["id", "like"]), "places")
+    placed = join_rows(marked, places)
+    groups = near_duplicates(placed.select("at", "text"), size=5, percent=80, key="at")
+    gone = written(groups.where(F.col("component_id") != F.col("at")).select("at").distinct(), "near-copies")
+    kept = placed.join(sent_if_few(gone), "at", "left_anti").select("row", "at")
+    once = kept.where(F.col("at").isNotNull()).dropDuplicates(["at"])
+    return kept.where(F.col("at").isNull()).unionByName(once).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
