@@ -9,18 +9,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.llm.common import written
+from riskspark.operators.ordered import running_totals
+from riskspark.operators.skew import lookup_join
 
 BITS = 4
 
 
-def _code(df: DataFrame, name: str) -> Column:
-    """An order-preserving number of a column: numbers as they are, text by its first 7 bytes."""
-    kind = df.schema[name].dataType
-    column = F.col(f"`{name}`")
-    if isinstance(kind, T.NumericType):
-        return column.cast("double")
-    head = F.substring(F.rpad(F.hex(F.substring(F.encode(column.cast("string"), "utf-8"), 1, 7)), 14, "0"), 1, 14)
-    return F.conv(head, 16, 10).cast("double")
+# Distinct values of a text dimension, up to which their levels are sent to every task.
+FEW_VALUES = 10_000
+
+
+def _is_number(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.NumericType)
+
+
+def text_levels(rows: DataFrame, name: str, bits: int) -> DataFrame:
+    """(name, n, level) of each value: the share of all rows that come before it, in 2**bits steps.
+
+    Whole values count, in the order of their bytes. Exact running totals over the distinct values, so
+    neither many values nor a frequent one gathers in a task.
+    """
+    counts = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    totals = running_totals(counts, name, ["n"])
+    step = F.floor((F.col("run_n") - F.col("n")) * (1 << bits) / F.col("all_n")).cast("int")
+    return totals.select(name, "n", step.alias("level"))
+
+
+def with_text_level(rows: DataFrame, name: str, level: str, bits: int) -> DataFrame:
+    """The rows with the level of their value in place of the value; null is level 0."""
+    levels = written(text_levels(rows, name, bits), "shard-levels")
+    if levels.limit(FEW_VALUES + 1).count() <= FEW_VALUES:
+        joined = rows.join(F.broadcast(levels.drop("n")), name, "left")
+    else:
+        joined = lookup_join(rows, levels, [name], "n")
+    return joined.withColumn(level, F.coalesce("level", F.lit(0))).drop(name, "level")
 
 
 def hilbert_index(dims: Sequence[Column], bits: int = BITS) -> Column:
@@ -94,8 +116,8 @@ def hilbert_shards(
 ) -> DataFrame:
     """(key, size, text_crc32, curve, shard, slot): runs along the curve with near equal bytes.
 
-    Each dimension is cut at its quantiles into 2**bits levels; a row's levels give its place on
-    the Hilbert curve. Rows are put in the order (curve, hash of the text, key, size), so copies
+    Each dimension is cut into 2**bits levels, numbers at their quantiles and text by the rows with
+    smaller values, whole values compared; a row's levels give its place on the Hilbert curve. Rows are put in the order (curve, hash of the text, key, size), so copies
     with the same metadata stand side by side, and the order is cut into ``shards`` runs: a row
     goes to the run in which the middle of its bytes lies. Size is the text's UTF-8 bytes plus
     1. Slots count from 0 in each run.
@@ -110,30 +132,39 @@ def hilbert_shards(
     """
     spark = docs.sparkSession
     body = F.col(f"`{text}`")
+    numbers = {d for d in dims if _is_number(docs, d)}
     # One pass over the texts; after it only narrow rows move.
     rows = docs.select(
         F.col(f"`{key}`").alias("key"),
         (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce(body, F.lit("")), "utf-8")).alias("crc"),
         F.xxhash64(body).alias("like"),
-        *[_code(docs, d).alias(f"d{i}") for i, d in enumerate(dims)],
+        *[
+            (F.col(f"`{d}`").cast("double") if d in numbers else F.col(f"`{d}`").cast("string")).alias(f"d{i}")
+            for i, d in enumerate(dims)
+        ],
     )
     rows = written(rows, "shard-rows")
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    edges = rows.agg(
-        F.struct(*[F.percentile_approx(f"d{i}", cuts, 10_000).alias(f"e{i}") for i in range(len(dims))]).alias("e")
-    ).scalar()
+    measured = [i for i, d in enumerate(dims) if d in numbers]
+    if measured:
+        edges = rows.agg(F.struct(*[F.percentile_approx(f"d{i}", cuts, 10_000).alias(f"e{i}") for i in measured]).alias("e"))
+        rows = rows.withColumn("e", edges.scalar())
+    for i in range(len(dims)):
+        if i not in measured:
+            rows = with_text_level(rows, f"d{i}", f"l{i}", bits)
 
     def level(i: int) -> Column:
         """How many of the dimension's cuts lie below the row."""
+        if i not in measured:
+            return F.col(f"l{i}")
         at, own = F.col("e")[f"e{i}"], F.col(f"d{i}")
         return F.coalesce(F.size(F.filter(at, lambda cut: cut < own)), F.lit(0)).alias(f"l{i}")
 
     order = ["curve", "like", "key", "size"]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        rows.withColumn("e", edges)
-        .select("key", "size", "crc", "like", *[level(i) for i in range(len(dims))])
+        rows.select("key", "size", "crc", "like", *[level(i) for i in range(len(dims))])
         .withColumn("curve", hilbert_index([F.col(f"l{i}") for i in range(len(dims))], bits))
         .repartitionByRange(partitions, *order)
         .withColumn("part", F.spark_partition_id())

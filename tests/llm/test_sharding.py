@@ -65,3 +65,36 @@ def test_written_shards_keep_all_columns(spark, tmp_path):
     write_shards(docs, hilbert_shards(docs, shards=4), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 50 and {*docs.columns, "_shard"} == set(back.columns)
+
+
+@pytest.mark.parametrize("few", [10_000, 3])
+def test_levels_order_and_cuts_against_a_plain_version(spark, monkeypatch, few):
+    monkeypatch.setattr("riskspark.llm.sharding.FEW_VALUES", few)
+    rows = [(*r[:3], r[3] and f"https://{r[3]}.example.org/a", *r[4:]) for r in documents(90)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    dims, bits, shards = ("lang", "source", "n_chars"), 3, 5
+    got = hilbert_shards(df, dims, shards, bits).collect()
+
+    def levels(column):
+        known = sorted(r[column] for r in rows if r[column] is not None)
+        if column == 4:  # numbers: how many of the quantiles lie below
+            cuts = [known[max(0, -(-len(known) * i // 8) - 1)] for i in range(1, 8)]
+            return [0 if r[4] is None else sum(c < r[4] for c in cuts) for r in rows]
+        before = {v: sum(x < v for x in known) for v in known}
+        return [0 if r[column] is None else before[r[column]] * 8 // len(known) for r in rows]
+
+    points = list(zip(range(len(rows)), levels(2), levels(3), levels(4)))
+    assert len({p[2] for p in points}) > 4  # sources with a common head are told apart
+    placed = spark.createDataFrame(points, "i long, a int, b int, c int")
+    curve = dict(placed.select("i", hilbert_index([F.col(c) for c in "abc"], bits).alias("h")).collect())
+    likes = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rows)], "i long, text string")
+    like = dict(likes.select("i", F.xxhash64("text").alias("h")).collect())
+    size = [len((r[1] or "").encode()) + 1 for r in rows]
+    order = sorted(range(len(rows)), key=lambda i: (curve[i], like[i], rows[i][0] is not None, rows[i][0] or 0, size[i]))
+    want, upto, slots = [], 0, {}
+    for i in order:
+        upto += size[i]
+        shard = min(shards - 1, (2 * upto - size[i]) * shards // (2 * sum(size)))
+        want.append((str(rows[i][0]), size[i], curve[i], shard, slots.setdefault(shard, 0)))
+        slots[shard] += 1
+    assert sorted((str(r["doc_id"]), r["size"], r["curve"], r["shard"], r["slot"]) for r in got) == sorted(want)
