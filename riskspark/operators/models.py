@@ -140,7 +140,7 @@ def source_column(slot: str) -> str:
 def permutation_importance(df: DataFrame, model, key: str, seed: int = 42, bucket: int = 1000) -> DataFrame:
     """(feature, importance): mean change of the score when a column comes from another row.
 
-    All rows take part. A row's donor is the next one by seeded hash among about ``bucket``
+    All rows take part; keys are unique. A row's donor is the next one by seeded hash among about ``bucket``
     others; all slots of a source column change together, in one scoring job.
     """
     slots: dict[str, list[int]] = {}
@@ -166,11 +166,12 @@ def permutation_importance(df: DataFrame, model, key: str, seed: int = 42, bucke
     scored = with_score(
         spread.withColumn("moved", moved).select(key, "i", array_to_vector(changed).alias("features")), model
     )
-    base = scored.where("i < 0").select(key, F.col("score").alias("base"))
+    # A row's scores meet by its key, so that every copy is scored once.
+    copy = F.when(F.col("i") >= 0, F.struct("i", "score"))
+    scores = scored.groupBy(key).agg(F.max(F.when(F.col("i") < 0, F.col("score"))).alias("base"), F.collect_list(copy).alias("moved"))
     label = F.get(F.array(*[F.lit(n) for n in slots]), F.col("i"))
     return (
-        scored.where("i >= 0")
-        .join(base, key)
+        scores.select("base", F.inline("moved"))
         .groupBy(label.alias("feature"))
         .agg(F.avg(F.abs(F.col("score") - F.col("base"))).alias("importance"))
         .orderBy(F.desc("importance"), "feature")

@@ -128,17 +128,34 @@ def hold_alert(
     step_seconds: int,
     ts: str = "window_start",
     by: Sequence[str] = (),
+    bucket_seconds: int = 86_400,
 ) -> DataFrame:
     """(by..., started_at, fired_at, ended_at) per spell in which the condition held long enough.
 
-    A spell ends when the condition fails or a step is missing. The series has one row per
-    step, so a group is bounded by the calendar.
+    A spell ends when the condition fails or a step is missing. A series is cut into time buckets, which
+    hand on their last row and their last start by one row each, so a series of any length
+    spreads over as many tasks as it has buckets.
     """
-    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(ts)
     at = F.unix_timestamp(ts)
-    held = series.where(condition)
-    new_spell = F.coalesce((at - F.lag(at).over(order) > step_seconds).cast("int"), F.lit(1))
-    spells = held.withColumn("_new", new_spell).withColumn("_spell", F.sum("_new").over(order))
+    held = series.where(condition).select(*by, ts, at.alias("_at"), F.floor(at / bucket_seconds).alias("_bucket"))
+    keys = [*by, "_bucket"]
+    buckets = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket")
+    inside = Window.partitionBy(*keys).orderBy("_at")
+
+    def handed_on(rows: DataFrame, last: Column, name: str) -> DataFrame:
+        """The newest value of the buckets before, at every row."""
+        ends = rows.groupBy(*keys).agg(F.max(last).alias("_end"))
+        earlier = buckets.rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select(*keys, F.max("_end").over(earlier).alias(name))
+        match = [F.col(f"r.`{k}`").eqNullSafe(F.col(f"e.`{k}`")) for k in keys]
+        return rows.alias("r").join(ends.alias("e"), match).select("r.*", f"e.{name}")
+
+    rows = handed_on(held, F.col("_at"), "_carried")
+    before = F.coalesce(F.lag("_at").over(inside), F.col("_carried"))
+    starts = F.when(before.isNull() | (F.col("_at") - before > step_seconds), F.col("_at"))
+    rows = handed_on(rows.withColumn("_start", starts), F.col("_start"), "_open")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spells = rows.withColumn("_spell", F.coalesce(F.max("_start").over(so_far), F.col("_open")))
     ends = spells.groupBy(*by, "_spell").agg(
         F.min(ts).alias("started_at"), F.max(ts).alias("ended_at")
     )

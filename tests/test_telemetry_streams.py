@@ -38,11 +38,12 @@ def test_histogram_quantile(spark, counts, q, wanted):
     assert found == wanted or (math.isnan(wanted) and math.isnan(found))
 
 
-def test_hold_alert(spark):
+@pytest.mark.parametrize("bucket", [60, 180, 86_400])
+def test_hold_alert(spark, bucket):
     flags = [1, 1, 1, 0, 1, 1, None, 1, 1, 1, 1]
     rows = [(START + timedelta(minutes=i), bool(f)) for i, f in enumerate(flags) if f is not None]
     series = spark.createDataFrame(rows, "window_start timestamp, bad boolean")
-    found = T.hold_alert(series, F.col("bad"), 120, 60).orderBy("started_at").collect()
+    found = T.hold_alert(series, F.col("bad"), 120, 60, bucket_seconds=bucket).orderBy("started_at").collect()
     minutes = [tuple(int((t - START).total_seconds() // 60) for t in r) for r in found]
     assert minutes == [(0, 2, 2), (7, 9, 10)]
 
