@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import mix, text_slices
 from riskspark.llm.pieces import MARK, Vocabulary, marked_words
 
-# Bytes of text that one search works on; its lattices take a hundred times as much.
-SLICE = 1_000_000
+# Bytes of text that one search works on; its lattices take up to two hundred times as much.
+SLICE = 200_000
 
 
 class PieceTable:

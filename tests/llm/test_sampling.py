@@ -1,11 +1,15 @@
 import itertools
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from riskspark.llm import sampling
+from riskspark.llm.common import text_slices
 from riskspark.llm.pieces import MARK, load, marked_words, vocabulary
 from riskspark.llm.sampling import Ids, PieceTable, decode, encode_slice, sample_encode
 
@@ -120,3 +124,17 @@ def test_round_trip(spark, pieces):
     text = {i: t for i, t, *_ in rows}
     found = back.collect()
     assert {r["doc_id"] for r in found} == set(text) and all(r["text"] == text[r["doc_id"]] for r in found)
+
+
+def test_a_slice_takes_little_memory(pieces):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 12))) for _ in range(40_000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(600)]
+    table, ids = PieceTable(pieces), Ids(pieces)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    for rows, _, _ in text_slices(iter([batch]), limit=sampling.SLICE):
+        encode_slice(rows.column(0).to_pylist(), np.arange(rows.num_rows, dtype=np.uint64), table, ids, 2, 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
