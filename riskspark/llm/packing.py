@@ -24,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,9 +34,12 @@ from riskspark.llm.common import text_slices, written
 
 CAPACITY = 4096
 END_ID = 1
-# Distinct words whose ids a worker keeps, and code points that it splits at a time.
-KNOWN_WORDS = 500_000
+# Distinct words whose ids a worker keeps, new ones that it looks up in one call, and code points of
+# a long text that it splits at a time. Bytes of text whose distinct words are found together.
+KNOWN_WORDS = 1_000_000
+AT_ONCE = 200
 BLOCK = 1 << 20
+SLICE = 6_000_000
 # A word of letters that no normal form changes, and signs that end it. Neither apostrophes nor
 # angle brackets are among them, as those begin contractions and special tokens.
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=-@\[-`{-~]*)")
@@ -55,7 +59,7 @@ class WordIds:
         self.parts: dict[str, bytes] = {"": b""}
 
     def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn_parts(self, new: list[str]) -> None:
         """Ids of words and runs of signs, from one text that holds them all."""
@@ -69,7 +73,7 @@ class WordIds:
             for word in new:
                 self.parts[word] = np.array(self._encode(word), "<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         split, new = [], set()
         for word in words:
             found = SIMPLE.fullmatch(word)
@@ -79,23 +83,39 @@ class WordIds:
                 new.update(p for p in (letters, signs) if p not in self.parts)
             else:
                 self.words[word] = np.array(self._encode(word), "<u4").tobytes()
-        if new:
-            self._learn_parts(list(new))
+        parts = list(new)
+        for at in range(0, len(parts), AT_ONCE):
+            self._learn_parts(parts[at : at + AT_ONCE])
         for word, letters, signs in split:
             self.words[word] = self.parts[letters] + self.parts[signs]
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. When too many are kept, only those of this call stay."""
+        found = list(map(self.words.get, words))
+        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
+        if not new:
+            return found
+        if len(self.words) + len(new) > KNOWN_WORDS:
+            self.words = {w: ids for w, ids in zip(words, found, strict=True) if ids is not None}
+        if len(self.parts) > KNOWN_WORDS:
+            self.parts = {"": b""}
+        self._learn(new)
+        return [self.words[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        every = set().union(*words)
-        new = every - self.words.keys()
-        if new:
-            if len(self.words) + len(new) > KNOWN_WORDS:
-                self.words, new = {}, every
-            if len(self.parts) > KNOWN_WORDS:
-                self.parts = {"": b""}
-            self._learn(new)
-        known = self.words
-        return [b"".join([known[w] for w in own]) for own in words]
+        spaced = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " ")
+        words = pc.split_pattern(spaced, " ")
+        coded = words.flatten().dictionary_encode()
+        found = self._known(coded.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        code = coded.indices.to_numpy()
+        each = count[code]
+        ends = np.cumsum(each)
+        first = (np.cumsum(count) - count)[code] - (ends - each)
+        raw = ids[np.repeat(first, each) + np.arange(each.sum())].tobytes()
+        cuts = (4 * np.append(0, ends)[words.offsets.to_numpy()]).tolist()
+        return [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 _encoders: dict[int, WordIds] = {}
@@ -249,10 +269,10 @@ def token_pieces(
         encode, part, size = encoder(shared.value), TaskContext.get().partitionId(), 4 * capacity
         end = np.array([end_id], "<u4").tobytes()
         seen = np.zeros(capacity + 1, np.int64)
-        for rows, _, offsets in text_slices(batches, "text"):
+        for rows, _, offsets in text_slices(batches, "text", SLICE):
             texts = rows.column(1).to_pylist()
             out = [[], [], [], [], [], []]
-            whole = encode([t or "" for t in texts]) if offsets[-1] <= 2 * BLOCK else None
+            whole = encode([t or "" for t in texts]) if len(texts) > 1 or offsets[-1] <= 2 * BLOCK else None
             for i, t in enumerate(texts):
                 number, held = 0, b""
                 found = [whole[i]] if whole is not None else (encode([b])[0] for b in blocks(t or ""))

@@ -159,3 +159,16 @@ def test_every_pair_of_two_lengths():
     for a, b in combinations(range(1, 13), 2):
         for x, y in ((1, 1), (3, 2), (5, 7)):
             expand({a: x, b: y}, 12)
+
+
+def test_known_words_are_not_learnt_again_when_too_many_are_kept(monkeypatch):
+    model = open(PATH, encoding="utf-8").read()
+    encode, learnt = WordIds(model), []
+    monkeypatch.setattr("riskspark.llm.packing.KNOWN_WORDS", 7)
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda words: (learnt.extend(words), learn(words)))
+    texts = ["ash beech cedar", "dogwood elm fir", "ash elm fir ginkgo holly", "ash elm yew"]
+    whole = Tokenizer.from_str(model)
+    for text in texts:
+        assert encode([text])[0] == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert Counter(learnt) == Counter(" ".join(texts).split()) - Counter({"ash": 2, "elm": 2, "fir": 1})
