@@ -143,3 +143,17 @@ def test_a_long_text_is_taken_in_stretches(spark):
 def test_empty(spark):
     assert remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
     assert found(spark.createDataFrame([(1, "a", "", "")], SCHEMA)) == [(1, 1, 0, 0, b"a")]
+
+
+def test_the_operator_merges_levels_by_default(spark, monkeypatch):
+    sizes, add = [], SuffixLevels.add
+
+    def told(levels, array):
+        met = add(levels, array)
+        sizes.append([s for s, _ in levels.levels])
+        return met
+
+    monkeypatch.setattr(SuffixLevels, "add", told)
+    rows = corpus(1, "ab")
+    assert found(spark.createDataFrame(rows, SCHEMA), length=40) == brute(rows, 40)
+    assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1]]
