@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from riskspark.llm import suffixes
 from riskspark.llm.suffixes import SuffixLevels, ranges_of, remove_repeats, repeated_ranges, steps, suffix_entries
 
 SCHEMA = "doc_id long, text string, like string, n_bytes string"
@@ -107,6 +108,25 @@ def test_scans_report_every_meeting_entry_once(spark, monkeypatch, often, few):
         assert got == Counter(r for r in seen if cores[r[0]] > 1)
 
 
+def test_cores_of_many_copies_are_spread(spark, monkeypatch):
+    """Copies of a text have equal entries: a sample must not take all of them or none."""
+    hot, write = [], suffixes.written
+
+    def told(df, purpose):
+        out = write(df, purpose)
+        if purpose == "suffix-hot":
+            hot.append(sorted(r["core"] for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(suffixes, "written", told)
+    monkeypatch.setattr(suffixes, "SAMPLE", 800)
+    rows = [(core, 5, 7, 300 * core, 0, 0) for core in range(8) for _ in range(400)]
+    rows += [(100 + i // 2, 5, 100 + i, 0, 0, 0) for i in range(200)] + [(300 + i, 5, 300 + i, 0, 0, 0) for i in range(50)]
+    met = SuffixLevels().add(spark.createDataFrame(rows, ENTRY))
+    assert Counter(map(tuple, met.collect())) == Counter(rows[:3400])
+    assert hot == [list(range(8))]
+
+
 def test_a_batch_added_to_reopened_levels(spark):
     rows, length = corpus(11, "abcdef"), 40
     df = spark.createDataFrame(rows, SCHEMA).where("text IS NOT NULL")
